@@ -1,5 +1,6 @@
 """Import every query module so that the registry is filled."""
 
 from queries import (  # noqa: F401
+    interval_queries,
     variant_queries,
 )

@@ -172,7 +172,7 @@ ROLES = {
     "expression": ({"id": "cast(o_custkey as string)", "gene_id": "concat('G', l_partkey)", "count": "cast(sum(l_quantity) as bigint)"},
                    _LINES, "o_custkey, l_partkey"),
 }
-_SPARK_TEXT = {"extract(epoch from ts)": "unix_micros(ts) / 1000000"}
+_SPARK_TEXT = {"extract(epoch from ts)": "unix_micros(cast(ts as timestamp)) / 1000000"}
 _DUCK_TEXT = {"as string)": "as varchar)"}
 
 

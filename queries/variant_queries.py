@@ -272,7 +272,7 @@ def _(d):
 
 
 @query("cigar_arithmetic", """
-with c as (select distinct concat(l_suppkey % 7, 'S', cast(l_quantity as int), 'M', l_linenumber, 'I', l_partkey % 50, 'N', l_suppkey, 'M', l_discount * 100 // 1, 'H') as cigar, l_linestatus from lineitem)
+with c as (select distinct concat(l_suppkey % 7, 'S', cast(l_quantity as int), 'M', l_linenumber, 'I', l_partkey % 50, 'N', l_suppkey, 'M', cast(l_quantity as int) % 5, 'H') as cigar, l_linestatus from lineitem)
 select cigar, l_linestatus, cast(list_sum(list_transform(regexp_extract_all(cigar, '([0-9]+)[MI]', 1), lambda x: cast(x as int))) as int) as qw,
   cast(list_sum(list_transform(regexp_extract_all(cigar, '([0-9]+)[MDN]', 1), lambda x: cast(x as int))) as int) as rw,
   cast(regexp_extract(cigar, '^([0-9]+)S', 1) as int) as cl, cast(regexp_extract(cigar, '([0-9]+)H$', 1) as int) as cr,
@@ -280,7 +280,7 @@ select cigar, l_linestatus, cast(list_sum(list_transform(regexp_extract_all(ciga
 def _(d):
     i = lambda c: c.cast("string")
     cig = F.concat(i(F.col("l_suppkey") % 7), F.lit("S"), i(F.col("l_quantity").cast("int")), F.lit("M"), i(F.col("l_linenumber")), F.lit("I"),
-                   i(F.col("l_partkey") % 50), F.lit("N"), i(F.col("l_suppkey")), F.lit("M"), F.concat(i(F.floor(F.col("l_discount") * 100)), F.lit(".0")), F.lit("H"))
+                   i(F.col("l_partkey") % 50), F.lit("N"), i(F.col("l_suppkey")), F.lit("M"), i(F.col("l_quantity").cast("int") % 5), F.lit("H"))
     c = d.lineitem.select(cig.alias("cigar"), "l_linestatus").distinct()
     g = F.col("cigar")
     return c.select("cigar", "l_linestatus", X.query_width(g).alias("qw"), X.reference_width(g).alias("rw"), X.clip_left(g).alias("cl"), X.clip_right(g).alias("cr"),
