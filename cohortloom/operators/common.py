@@ -81,6 +81,17 @@ def _combine(kind: str, earlier: Column, later: Column) -> Column:
     raise ValueError(kind)
 
 
+def _over(kind: str, value: Column, window) -> Column:
+    fn = {"sum": F.sum, "max": F.max, "min": F.min}.get(kind)
+    return fn(value).over(window) if fn else F.last(value, ignorenulls=True).over(window)
+
+
+def _plain_scan(df, keys, pos, specs, tie, inclusive, reverse) -> DataFrame:
+    order = [F.col(c).desc() if reverse else F.col(c).asc() for c in (pos, *tie)]
+    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow if inclusive else -1)
+    return df.select("*", *[_over(kind, value, w).alias(n) for n, (kind, value) in specs.items()])
+
+
 def scan(
     df: DataFrame,
     keys: Sequence[str],
@@ -88,7 +99,7 @@ def scan(
     specs: Mapping[str, tuple[str, Column]],
     *,
     tie: Sequence[str] = (),
-    chunk: int = 1_000_000,
+    chunk: int | None = 1_000_000,
     inclusive: bool = True,
     reverse: bool = False,
     keep_chunk: bool = False,
@@ -99,9 +110,13 @@ def scan(
     ``chunk`` of positions, so a group of any size is spread over many tasks; a second window
     runs over one summary row per chunk.  ``reverse`` scans from high to low positions.
     ``keep_chunk`` leaves the chunk column for a following scan, which then needs no new shuffle.
+    ``chunk=None`` is one plain window, for groups whose size has a proven bound (such as the
+    segments of one model): it reads its input once, the two-level form reads it twice.
     """
     keys = list(keys)
     names = list(specs)
+    if chunk is None:
+        return _plain_scan(df, keys, pos, specs, tie, inclusive, reverse)
     base = df
     if "__chunk" not in df.columns:
         base = base.withColumn("__chunk", F.floor(F.col(pos) / F.lit(chunk)).cast("long"))
@@ -115,10 +130,6 @@ def scan(
     inner = inner.rowsBetween(Window.unboundedPreceding, Window.currentRow if inclusive else -1)
     outer = Window.partitionBy(*keys).orderBy(direct("__chunk")).rowsBetween(Window.unboundedPreceding, -1)
 
-    def over(kind: str, value: Column, window) -> Column:
-        fn = {"sum": F.sum, "max": F.max, "min": F.min}.get(kind)
-        return fn(value).over(window) if fn else F.last(value, ignorenulls=True).over(window)
-
     def total(name: str) -> Column:
         kind, value = specs[name][0], F.col(f"__v_{name}")
         if kind == "last":
@@ -128,9 +139,9 @@ def scan(
 
     summary = base.groupBy(*keys, "__chunk").agg(*[total(n).alias(f"__t_{n}") for n in names])
     offsets = summary.select(
-        *keys, "__chunk", *[over(specs[n][0], F.col(f"__t_{n}"), outer).alias(f"__o_{n}") for n in names]
+        *keys, "__chunk", *[_over(specs[n][0], F.col(f"__t_{n}"), outer).alias(f"__o_{n}") for n in names]
     )
-    local = base.select("*", *[over(specs[n][0], F.col(f"__v_{n}"), inner).alias(f"__l_{n}") for n in names])
+    local = base.select("*", *[_over(specs[n][0], F.col(f"__v_{n}"), inner).alias(f"__l_{n}") for n in names])
     # Plain equality keeps the partitioning of the window, so this side is not shuffled again.
     both = local.join(offsets, [*keys, "__chunk"], "left")
     kept = [c for c in df.columns if c != "__chunk"] + (["__chunk"] if keep_chunk else [])
@@ -140,7 +151,7 @@ def scan(
 
 
 def runs(
-    df: DataFrame, keys: Sequence[str], pos: str, same_as_previous: Sequence[str], *, chunk: int = 1_000_000,
+    df: DataFrame, keys: Sequence[str], pos: str, same_as_previous: Sequence[str], *, chunk: int | None = 1_000_000,
     null_is_equal: bool = False, out: str = "run",
 ) -> DataFrame:
     """Number maximal runs of consecutive rows whose listed columns do not change.

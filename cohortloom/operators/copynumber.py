@@ -275,13 +275,13 @@ def merge_labels(df: DataFrame, keys: Sequence[str], pos: str, label: str, value
     return r.groupBy(*keys, label, "run").agg(F.max("end").alias("end"), listed.alias(values)).withColumnRenamed("run", pos)
 
 
-def repair_loh(model: DataFrame, keys: Sequence[str] = ("id",), pos: str = "ord", min_snps: int = 5) -> DataFrame:
+def repair_loh(model: DataFrame, keys: Sequence[str] = ("id",), pos: str = "ord", min_snps: int = 5, chunk: int | None = 1_000_000) -> DataFrame:
     """K of segments without normal pairs is 0; LOH on few SNPs takes the neighbours' K where C agrees."""
     one = lambda c: F.col(c).isin(0.0, 1.0)
     fixed = model.withColumn("K", F.when(F.coalesce(one("nC") | one("C"), F.lit(False)), F.lit(0.0)).otherwise(F.col("K")))
     both = F.struct(F.col("C").alias("c"), F.col("K").alias("k"))
-    before = scan(fixed, keys, pos, {"__a": ("last", both)}, inclusive=False)
-    around = scan(before, keys, pos, {"__b": ("last", both)}, inclusive=False, reverse=True)
+    before = scan(fixed, keys, pos, {"__a": ("last", both)}, chunk=chunk, inclusive=False)
+    around = scan(before, keys, pos, {"__b": ("last", both)}, chunk=chunk, inclusive=False, reverse=True)
     # Neighbours with a NULL copy number decide nothing.
     c, prev, nxt = F.col("C"), F.col("__a"), F.col("__b")
     eq_p, eq_n = c == prev["c"], c == nxt["c"]

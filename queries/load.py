@@ -3,5 +3,6 @@
 from queries import (  # noqa: F401
     cohort_queries,
     interval_queries,
+    model_queries,
     variant_queries,
 )
