@@ -2,6 +2,7 @@
 
 from queries import (  # noqa: F401
     cohort_queries,
+    fusion_queries,
     interval_queries,
     model_queries,
     variant_queries,
