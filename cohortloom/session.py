@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,25 +25,32 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the folder the cluster names in ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names in ``spark.checkpoint.dir``.
 
     A private folder is made only in local mode with the setting absent (tests); on a cluster a
     machine-local folder would be lost with its machine, so its absence is an error there.
     """
-    sc = spark.sparkContext
-    if sc.getCheckpointDir():
-        return
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
-        sc.setCheckpointDir(shared)
-    elif sc.master.startswith("local"):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="cohortloom-ckpt-"))
-    else:
+        return shared
+    if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+    global _LOCAL
+    if _LOCAL is None:
+        _LOCAL = tempfile.mkdtemp(prefix="cohortloom-ckpt-")
+    return _LOCAL
+
+
+_LOCAL: str | None = None
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: the result survives the loss of any executor."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Store a table in the shared folder and read it back.
+
+    The stored copy survives the loss of any executor, is computed once, and, being parquet, gives
+    later plans column pruning and true sizes.
+    """
+    path = f"{shared_folder(df.sparkSession).rstrip('/')}/cohortloom-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
