@@ -201,7 +201,10 @@ def sequence_chunks(bases: DataFrame, width: int) -> DataFrame:
 
 
 def with_reach(chunks: DataFrame, reach: int) -> DataFrame:
-    """Append the first ``reach`` bases of the next chunk, so windows never miss bases at an edge."""
+    """Append the first ``reach`` bases of the next chunk, so windows never miss bases at an edge.
+
+    Chunks must be at least ``reach`` long.
+    """
     nxt = chunks.select("chr", (F.col("chunk") - 1).alias("chunk"), F.substring("seq", 1, reach).alias("__n"))
     return chunks.join(nxt, ["chr", "chunk"], "left").withColumn("seq", F.concat("seq", F.coalesce("__n", F.lit("")))).drop("__n")
 
@@ -225,14 +228,19 @@ def homopolymers(chunks: DataFrame, width: int, bases: str = "ACGT", min_length:
     A chunk lists its own runs of any length at its edges and long ones inside; touching runs of
     one base are then merged across chunk edges.
     """
-    step = F.transform(F.sequence(F.lit(1), F.length("seq")), lambda i: F.struct(i.alias("i"), F.substring("seq", i, F.lit(1)).alias("b"), F.substring("seq", i - 1, F.lit(1)).alias("p")))
-    starts = F.filter(step, lambda e: (e["i"] == 1) | (e["b"] != e["p"]))
-    r = chunks.filter(F.length("seq") > 0).select("chr", "chunk", F.length("seq").alias("__len"), starts.alias("__s"))
-    r = r.select("chr", "chunk", "__len", F.posexplode("__s").alias("__n", "__e"), "__s")
-    end = F.coalesce(F.try_element_at("__s", F.col("__n") + 2)["i"] - 1, F.col("__len"))
+    wanted = [F.lit(b) for b in bases]
+    c = chunks.filter(F.length("seq") > 0).select("chr", "chunk", F.length("seq").alias("__len"), F.split("seq", "").alias("__c"))
+    at = lambda i: F.get(F.col("__c"), i - 1)
+    idx = F.sequence(F.lit(1), F.col("__len"))
+    mine = lambda i: at(i).isin(*wanted)
+    # The n-th run of wanted bases starts at the n-th start and ends at the n-th end.
+    starts = F.filter(idx, lambda i: mine(i) & ((i == 1) | ~at(i).eqNullSafe(at(i - 1))))
+    ends = F.filter(idx, lambda i: mine(i) & ((i == F.col("__len")) | ~at(i).eqNullSafe(at(i + 1))))
+    both = c.select("chr", "chunk", "__len", F.explode(F.arrays_zip(starts.alias("s"), F.transform(starts, at).alias("b"), ends.alias("e"))).alias("__r"))
     base = F.col("chunk") * width
-    runs = r.select("chr", F.col("__e.b").alias("base"), (base + F.col("__e.i")).alias("start"), (base + end).alias("end"), (F.col("__e.i") == 1).alias("__l"), (end == F.col("__len")).alias("__r"))
-    kept = runs.filter(F.col("base").isin(*bases) & (F.col("__l") | F.col("__r") | (F.col("end") - F.col("start") + 1 >= min_length)))
+    runs = both.select(
+        "chr", F.col("__r.b").alias("base"), (base + F.col("__r.s")).alias("start"), (base + F.col("__r.e")).alias("end"), (F.col("__r.s") == 1).alias("__l"), (F.col("__r.e") == F.col("__len")).alias("__r"))
+    kept = runs.filter(F.col("__l") | F.col("__r") | (F.col("end") - F.col("start") + 1 >= min_length))
     return merge_ranges(kept, ["chr", "base"]).filter(F.col("end") - F.col("start") + 1 >= min_length)
 
 

@@ -302,3 +302,29 @@ def inject(ds: CohortDataset, table: str, rows: DataFrame) -> CohortDataset:
     marked = update_from(have, again.distinct(), keys, "triage")
     ds = ds.with_table(table, marked.unionByName(fresh))
     return ds.with_map(table, ds.map(table).unionByName(fresh.select(*keys, "gene_id"), allowMissingColumns=True))
+
+
+# ---------------------------------------------------------------- learned pass scoring
+
+def forest_features(df: DataFrame) -> DataFrame:
+    """Flags and filled numbers a pass model is trained on."""
+    blank = lambda c: F.coalesce(F.col(c), F.lit("")) == ""
+    flags = {
+        "gdc_mask": ~blank("pon"), "is_indel": F.length("ref") != F.length("alt"), "in_dbsnp": F.col("dbsnp").isNotNull(), "is_rmsk": ~blank("rmsk_hit"),
+    }
+    out = df.withColumns({k: v.cast("int") for k, v in flags.items()})
+    return out.fillna(0.0, ["oxog", "mqrs", "mqs", "sor"]).fillna("", ["str_ru"])
+
+
+def forest_pass(model, df: DataFrame, rescue: bool = False, prediction: str = "prediction") -> DataFrame:
+    """Add ``pass`` from a fitted pipeline: predicted, of relevant impact; strong evidence can rescue.
+
+    The model is trained by the user; a row it cannot score does not pass.
+    """
+    out = model.transform(forest_features(df))
+    relevant = F.coalesce(F.col("impact").isin("HIGH", "MODERATE"), F.lit(False))
+    ok = (F.coalesce(F.col(prediction), F.lit(0.0)) > 0.5) & relevant
+    if rescue:
+        strong = F.expr("tlod > 15 and nlod > 20 and flod > 16 and sor < 3 and xfet < 1e-4 and adt_fwd >= 5 and adt_rev >= 5 and adn <= 2")
+        ok = ok | (F.coalesce(strong, F.lit(False)) & relevant)
+    return out.select(*df.columns, ok.alias("pass"))

@@ -258,11 +258,10 @@ def _(d):
 @query("window_sequence", """select conv_id * 1000 + turn as k, substr(text, 11 - 7, 15) as motif from (select conv_id, turn, min(text) as text from conversations group by 1, 2) where length(text) > 100""")
 def _(d):
     t = d.conversations.groupBy("conv_id", "turn").agg(F.min("text").alias("text")).filter(F.length("text") > 100)
-    c = t.select((F.col("conv_id") * 1000 + F.col("turn")).cast("string").alias("chr"), F.explode(F.sequence(F.lit(0), F.floor((F.length("text") - 1) / 8).cast("int"))).alias("chunk"), "text")
-    ch = c.select("chr", F.col("chunk").cast("bigint").alias("chunk"), F.substring("text", F.col("chunk") * 8 + 1, F.lit(8)).alias("seq"))
+    c = t.select((F.col("conv_id") * 1000 + F.col("turn")).cast("string").alias("chr"), F.explode(F.sequence(F.lit(0), F.floor((F.length("text") - 1) / 32).cast("int"))).alias("chunk"), "text")
+    ch = c.select("chr", F.col("chunk").cast("bigint").alias("chunk"), F.substring("text", F.col("chunk") * 32 + 1, F.lit(32)).alias("seq"))
     p = t.select((F.col("conv_id") * 1000 + F.col("turn")).alias("k"), (F.col("conv_id") * 1000 + F.col("turn")).cast("string").alias("chr"), F.lit(11).alias("pos"))
-    two = GM.with_reach(GM.with_reach(ch, 8), 14)
-    return GM.window_sequence(p, two, 8, 7).select("k", "motif")
+    return GM.window_sequence(p, GM.with_reach(ch, 14), 32, 7).select("k", "motif")
 
 
 # ---------------------------------------------------------------- sources, writers, incremental

@@ -5,5 +5,6 @@ from queries import (  # noqa: F401
     fusion_queries,
     interval_queries,
     model_queries,
+    more_queries,
     variant_queries,
 )
