@@ -49,30 +49,25 @@ def genotype_string(calls: DataFrame, keys: Sequence[str] = ("id",), order: str
     return calls.groupBy(*keys).agg(F.array_join(F.transform(s, lambda e: e["c"]), "").alias("genotype"))
 
 
-def match_pairs(a: DataFrame, b: DataFrame, pairs: DataFrame | None = None, name: str = "name", threshold: float = 0.95) -> DataFrame:
-    """Genotype agreement of sample pairs: depth-weighted mean correlation of smoothed base shares.
+def match_pairs(a: DataFrame, b: DataFrame, pairs: DataFrame, name: str = "name", threshold: float = 0.95) -> DataFrame:
+    """Genotype agreement of the given sample pairs: depth-weighted mean correlation of base shares.
 
-    ``a``, ``b``: id, name, A, C, G, T.  ``pairs`` (id_1, id_2) limits the comparisons; without it
-    every sample of ``a`` is compared with every sample of ``b`` that shares a SNP.  SNPs without
-    reads in either sample are left out.
+    ``a``, ``b``: id, name, A, C, G, T; ``pairs``: id_1, id_2.  Shares are smoothed by one read per
+    base.  Every (sample, SNP) is reduced to a unit vector first, so a correlation is a sum of four
+    products.  SNPs without reads in either sample are left out.
     """
-    shape = lambda d, n: d.select(F.col("id").alias(f"id_{n}"), F.col(name).alias("__s"), F.array(*[F.col(x).cast("double") for x in BASES]).alias(f"n{n}"),
-                                  (F.col("A") + F.col("C") + F.col("G") + F.col("T")).cast("double").alias(f"t{n}")).filter(F.col(f"t{n}") > 0)
-    x, y = shape(a, 1), shape(b, 2)
-    if pairs is not None:
-        x = x.join(pairs.select("id_1", "id_2"), "id_1")
-        j = x.join(y, ["id_2", "__s"])
-    else:
-        j = x.join(y, "__s")
-    smooth = lambda c, t: F.transform(c, lambda v: (v + 1) / (t + 16))
-    total = lambda arr: F.aggregate(arr, F.lit(0.0), lambda s, v: s + v)
-    j = j.withColumn("p", smooth(F.col("n1"), F.col("t1"))).withColumn("q", smooth(F.col("n2"), F.col("t2")))
-    dp = F.transform("p", lambda v: v - total(F.col("p")) / 4)
-    dq = F.transform("q", lambda v: v - total(F.col("q")) / 4)
-    j = j.withColumn("dp", dp).withColumn("dq", dq)
-    cov = total(F.zip_with("dp", "dq", lambda u, v: u * v))
-    var = lambda c: total(F.transform(c, lambda u: u * u))
-    r = cov / F.nullif(F.sqrt(var("dp") * var("dq")), F.lit(0.0))
+    def unit(d: DataFrame, n: str) -> DataFrame:
+        total = F.col("A") + F.col("C") + F.col("G") + F.col("T")
+        t = d.select(F.col("id").alias(f"id_{n}"), F.col(name).alias("__s"), total.cast("double").alias(f"t{n}"), *[((F.col(x) + 1) / (total + 16)).alias(f"p{x}") for x in BASES]).filter(F.col(f"t{n}") > 0)
+        mean = sum((F.col(f"p{x}") for x in BASES), F.lit(0.0)) / 4
+        t = t.withColumn("__m", mean)
+        norm = F.sqrt(sum(((F.col(f"p{x}") - F.col("__m")) * (F.col(f"p{x}") - F.col("__m")) for x in BASES), F.lit(0.0)))
+        t = t.withColumn("__n", F.when(norm > 1e-12, norm))
+        return t.select(f"id_{n}", "__s", f"t{n}", *[((F.col(f"p{x}") - F.col("__m")) / F.col("__n")).alias(f"{x}{n}") for x in BASES])
+
+    wanted = pairs.select("id_1", "id_2").distinct()
+    j = unit(a, "1").join(wanted, "id_1").join(unit(b, "2"), ["id_2", "__s"])
+    r = sum((F.col(f"{x}1") * F.col(f"{x}2") for x in BASES), F.lit(0.0))
     w = F.col("t1") + F.col("t2")
     out = j.groupBy("id_1", "id_2").agg((F.sum(r * w) / F.sum(w)).alias("score"), F.count(F.lit(1)).alias("n_snps"))
     return out.withColumn("match", F.col("score") > threshold)

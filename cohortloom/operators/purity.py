@@ -24,32 +24,34 @@ def variants_on_segments(variants: DataFrame, segments: DataFrame, meta: DataFra
     return out.join(meta.select("id", "purity", "ploidy"), "id", "left")
 
 
-def cell_fractions(variants: DataFrame, segments: DataFrame, meta: DataFrame, max_depth: int = MAX_DEPTH, max_copies: int = 200) -> DataFrame:
+def cell_fractions(variants: DataFrame, segments: DataFrame, meta: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
     """Multiplicity ``m`` (most likely number of mutated copies given C) and ``ccf`` of each variant.
 
-    The candidate multiplicities of a variant are 1..C, tried inside the row: the Beta constant is
-    the same for all of them, so its kernel decides.  No grid is joined.
+    The Beta likelihood of a variant has one peak, where the expected fraction equals the observed
+    one, and the expected fraction grows with m.  So the best whole m in 1..C is one of the two
+    neighbours of the peak; no grid of copies is built.
     """
     v = variants_on_segments(variants.drop("m", "ccf"), segments, meta)
-    male = with_group(v.select("id", "nC"), ["id"], {"__male": F.bool_or(F.col("nC") == 1)}).select("id", "__male").distinct()
+    male = v.groupBy("id").agg(F.coalesce(F.bool_or(F.col("nC") == 1), F.lit(False)).alias("__male"))
     v = v.join(male, "id", "left")
-    sex_copies = F.when(F.col("chr").isin(SEX_CHROMOSOMES) & F.coalesce("__male", F.lit(False)), 1.0).otherwise(2.0)
+    sex_copies = F.when(F.col("chr").isin(SEX_CHROMOSOMES) & F.col("__male"), 1.0).otherwise(2.0)
     p, c = F.col("purity"), F.col("C")
     n = F.least(F.col("dpt"), F.lit(max_depth))
-    v = v.withColumn("__nc", sex_copies).withColumn("__a", F.col("aft") * n + 1).withColumn("__b", (1 - F.col("aft")) * n + 1)
-
-    def scored(m):
-        ef = (p * m) / (p * c + F.col("__nc") * (1 - p))
-        # Log of 0 or of 1 at the ends of the range counts as minus infinity.
-        inner = F.when((ef > 0) & (ef < 1), beta_log_kernel(ef, F.col("__a"), F.col("__b")))
-        at_one = F.when((ef >= 1) & (F.col("__b") == 1), (F.col("__a") - 1) * F.log(ef))
-        return F.struct(F.coalesce(inner, at_one, F.lit(float("-inf"))).alias("ll"), (-m).alias("neg"))
-
-    copies = F.when(c.isNotNull(), F.least(c, F.lit(max_copies))).cast("int")
-    tries = F.when((copies >= 1) & p.isNotNull() & F.col("aft").isNotNull(), F.transform(F.sequence(F.lit(1), copies), lambda m: scored(m)))
-    v = v.withColumn("m", (-F.array_max(tries)["neg"]).cast("int"))
+    total = p * c + sex_copies * (1 - p)
+    peak = F.col("aft") * total / F.nullif(p, F.lit(0.0))
+    low = F.greatest(F.least(F.floor(peak).cast("double"), c), F.lit(1.0))
+    v = v.withColumns({"__t": total, "__a": F.col("aft") * n + 1, "__b": (1 - F.col("aft")) * n + 1, "__lo": F.when(peak.isNotNull() & (c >= 1), low)})
+
+    def kernel(m):
+        ef = p * m / F.col("__t")
+        # At a fraction of one the likelihood is zero unless every read is mutated.
+        edge = F.when(F.col("__b") == 1, F.lit(0.0)).otherwise(F.lit(float("-inf")))
+        return F.when(ef < 1, beta_log_kernel(ef, F.col("__a"), F.col("__b"))).otherwise(edge)
+
+    high = F.least(F.col("__lo") + 1, c)
+    v = v.withColumn("m", F.when(kernel(high) > kernel(F.col("__lo")), high).otherwise(F.col("__lo")).cast("int"))
     v = v.withColumn("ccf", cancer_cell_fraction(F.col("aft"), p, c, F.col("nC"), F.col("m")))
-    return v.drop("__male", "__nc", "__a", "__b")
+    return v.drop("__male", "__t", "__a", "__b", "__lo")
 
 
 def quick_cell_fractions(variants: DataFrame, segments: DataFrame, meta: DataFrame) -> DataFrame:

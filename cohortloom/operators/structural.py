@@ -29,8 +29,7 @@ def structural_consequence(df: DataFrame) -> DataFrame:
              (fused, F.lit("fusion5" if n == "1" else "fusion3"))], NO_TEXT())
 
     def number(c: str) -> Column:
-        found = F.regexp_extract(c, "([0-9]*)/", 1)
-        return F.when(found != "", found.cast("int"))
+        return F.when(F.contains(F.col(c), F.lit("/")), F.substring_index(c, "/", 1).try_cast("int"))
 
     text = lambda c: F.coalesce(c.cast("string"), F.lit(""))
     intron1 = F.when(F.col("end1") == "5p", number("intron1") + 1).when(F.col("end1").isNotNull(), number("intron1"))

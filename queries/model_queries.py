@@ -262,14 +262,16 @@ def _(d):
 
 @query("match_pairs", """
 with a as (select user_id as id, event_type as name, sum(case when event_id % 4 = 0 then 1 else 0 end) * 1.0 as a, sum(case when event_id % 4 = 1 then 1 else 0 end) * 1.0 as c, sum(case when event_id % 4 = 2 then 1 else 0 end) * 1.0 as g, sum(case when event_id % 4 = 3 then 1 else 0 end) * 1.0 as t, count(*) * 1.0 as n from events group by 1, 2),
- p as (select x.id as i, y.id as j, x.n + y.n as w, [(x.a + 1) / (x.n + 16), (x.c + 1) / (x.n + 16), (x.g + 1) / (x.n + 16), (x.t + 1) / (x.n + 16)] as u, [(y.a + 1) / (y.n + 16), (y.c + 1) / (y.n + 16), (y.g + 1) / (y.n + 16), (y.t + 1) / (y.n + 16)] as v from a x join a y on x.name = y.name),
+ p as (select x.id as i, y.id as j, x.n + y.n as w, [(x.a + 1) / (x.n + 16), (x.c + 1) / (x.n + 16), (x.g + 1) / (x.n + 16), (x.t + 1) / (x.n + 16)] as u, [(y.a + 1) / (y.n + 16), (y.c + 1) / (y.n + 16), (y.g + 1) / (y.n + 16), (y.t + 1) / (y.n + 16)] as v from a x join a y on x.name = y.name and (y.id = (x.id * 7 + 1) % 150 or y.id = x.id + 1)),
  r as (select i, j, w, cast(list_sum(u) / 4 as double) as mu, cast(list_sum(v) / 4 as double) as mv, cast(u[1] as double) u1, cast(u[2] as double) u2, cast(u[3] as double) u3, cast(u[4] as double) u4, cast(v[1] as double) v1, cast(v[2] as double) v2, cast(v[3] as double) v3, cast(v[4] as double) v4 from p),
  c as (select i, j, w, ((u1 - mu) * (v1 - mv) + (u2 - mu) * (v2 - mv) + (u3 - mu) * (v3 - mv) + (u4 - mu) * (v4 - mv)) as cov, sqrt((pow(u1 - mu, 2) + pow(u2 - mu, 2) + pow(u3 - mu, 2) + pow(u4 - mu, 2)) * (pow(v1 - mv, 2) + pow(v2 - mv, 2) + pow(v3 - mv, 2) + pow(v4 - mv, 2))) as nv from r)
 select cast(i as varchar) as id_1, cast(j as varchar) as id_2, round(cast(sum(case when nv > 1e-12 then cov / nv end * w) / sum(w) as double), 5) as score, count(*) as n_snps from c group by 1, 2""")
 def _(d):
     k = F.col("event_id") % 4
     t = d.events.groupBy(F.col("user_id").cast("string").alias("id"), F.col("event_type").alias("name")).agg(*[F.count(F.when(k == i, 1)).alias(b) for i, b in enumerate("ACGT")])
-    return ID.match_pairs(t, t).select("id_1", "id_2", R("score", 5), "n_snps")
+    u = d.events.select("user_id").distinct()
+    pairs = u.select(F.col("user_id").cast("string").alias("id_1"), F.explode(F.array(((F.col("user_id") * 7 + 1) % 150).cast("string"), (F.col("user_id") + 1).cast("string"))).alias("id_2"))
+    return ID.match_pairs(t, t, pairs).select("id_1", "id_2", R("score", 5), "n_snps")
 
 
 @query("genotype_scores", """
