@@ -58,17 +58,17 @@ def match_pairs(a: DataFrame, b: DataFrame, pairs: DataFrame, name: str = "name"
     """
     def unit(d: DataFrame, n: str) -> DataFrame:
         total = F.col("A") + F.col("C") + F.col("G") + F.col("T")
-        t = d.select(F.col("id").alias(f"id_{n}"), F.col(name).alias("__s"), total.cast("double").alias(f"t{n}"), *[((F.col(x) + 1) / (total + 16)).alias(f"p{x}") for x in BASES]).filter(F.col(f"t{n}") > 0)
+        t = d.select(F.col("id").alias(f"id_{n}"), F.col(name).alias("__s"), total.cast("double").alias(f"depth{n}"), *[((F.col(x) + 1) / (total + 16)).alias(f"p{x}") for x in BASES]).filter(F.col(f"depth{n}") > 0)
         mean = sum((F.col(f"p{x}") for x in BASES), F.lit(0.0)) / 4
         t = t.withColumn("__m", mean)
         norm = F.sqrt(sum(((F.col(f"p{x}") - F.col("__m")) * (F.col(f"p{x}") - F.col("__m")) for x in BASES), F.lit(0.0)))
         t = t.withColumn("__n", F.when(norm > 1e-12, norm))
-        return t.select(f"id_{n}", "__s", f"t{n}", *[((F.col(f"p{x}") - F.col("__m")) / F.col("__n")).alias(f"{x}{n}") for x in BASES])
+        return t.select(f"id_{n}", "__s", f"depth{n}", *[((F.col(f"p{x}") - F.col("__m")) / F.col("__n")).alias(f"{x}{n}") for x in BASES])
 
     wanted = pairs.select("id_1", "id_2").distinct()
     j = unit(a, "1").join(wanted, "id_1").join(unit(b, "2"), ["id_2", "__s"])
     r = sum((F.col(f"{x}1") * F.col(f"{x}2") for x in BASES), F.lit(0.0))
-    w = F.col("t1") + F.col("t2")
+    w = F.col("depth1") + F.col("depth2")
     out = j.groupBy("id_1", "id_2").agg((F.sum(r * w) / F.sum(w)).alias("score"), F.count(F.lit(1)).alias("n_snps"))
     return out.withColumn("match", F.col("score") > threshold)
 

@@ -120,13 +120,12 @@ PROSTATE_SOMATIC_TN = [[*_HARD_TN, IMPORTANT_IMPACT]]
 PROSTATE_SOMATIC_TO = [["goi", "adn is null", "tlod > 5", IMPORTANT_IMPACT, "aft >= 0.02", "adt >= 10", _POPULATION]]
 
 #: Older sets: slightly other thresholds.
-_MQRS_OLD = "((mqrs is null and aft > 0.9) or mqrs > -3)"
 OLD_SOMATIC_DATA_TN = [
     SOMATIC_DATA_TN[0],
     [REPEAT, "tlod > 24", "nlod > 24", "(flod > 12 or (adn = 0 and dpn >= 120))", "xfet < 5e-3", "adt_fwd >= 9",
      "adt_rev >= 9", "adn <= 1", "aft > afn * 8"],
     [CLEAN, "adt > 4", f"(adn <= 3 or {_NORMAL_SHARE})", "aft >= 0.024", "(afn < 0.012 or (afn < 0.02 and adn = 1))", "tlod > 6",
-     "nlod > 6", "flod > 3", "xfet < 0.05", _FWD, _REV, "sor < 4", _MQRS_OLD, "mqs > 25"],
+     "nlod > 6", "flod > 3", "xfet < 0.05", _FWD, _REV, "sor < 4", _MQRS, "mqs > 25"],
     SOMATIC_DATA_TN[3],
 ]
 OLD_SOMATIC_ANNO_TN = [
