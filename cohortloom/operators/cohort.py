@@ -150,8 +150,7 @@ def recurrence(df: DataFrame, key: Column | str, sample: str = "id", out: str =
     """Keys seen more than once, with the number of samples in the table."""
     k = F.col(key) if isinstance(key, str) else key
     n = df.filter(k.isNotNull()).groupBy(k.alias(out)).agg(F.count(F.lit(1)).alias("recur")).filter(F.col("recur") > 1)
-    total = df.agg(F.count_distinct(sample).alias("total"))  # one row, bounded by construction
-    return n.join(F.broadcast(total))
+    return n.withColumn("total", df.agg(F.count_distinct(sample)).scalar())
 
 
 def integrated_variants(variants: DataFrame, recur: DataFrame, copies: DataFrame, expression: DataFrame) -> DataFrame:
@@ -187,8 +186,9 @@ def expression_with_copies(packed: DataFrame, gene_index: DataFrame, copies: Dat
 
 def gene_across_cohort(packed: DataFrame, gene_index: DataFrame, gene_id: str, groupings: DataFrame) -> DataFrame:
     """One gene's expression in every sample, picked by its index from the packed arrays."""
-    idx = gene_index.filter(F.col("gene_id") == gene_id).select("idx").limit(1)
-    out = packed.join(F.broadcast(idx)).select("id", F.try_element_at("cpm", F.col("idx").cast("int")).alias("cpm"), F.try_element_at("rpkm", F.col("idx").cast("int")).alias("rpkm"))
+    idx = gene_index.filter(F.col("gene_id") == gene_id).agg(F.min("idx").cast("int")).scalar()
+    at = packed.withColumn("__idx", idx)
+    out = at.select("id", F.try_element_at("cpm", F.col("__idx")).alias("cpm"), F.try_element_at("rpkm", F.col("__idx")).alias("rpkm"))
     return out.join(groupings, "id", "left")
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,11 +33,3 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
         if not changed:
             return labels
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
-
-
-def number_components(components: DataFrame, keys: Sequence[str] = ("component",)) -> DataFrame:
-    """Dense component numbers by smallest member (the component list is far smaller than the nodes)."""
-    from pyspark.sql import Window
-
-    names = components.select(*keys).distinct().withColumn("number", F.dense_rank().over(Window.orderBy(*keys)).cast("int"))
-    return components.join(names, list(keys))

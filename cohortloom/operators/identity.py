@@ -99,8 +99,7 @@ def genotype_scores(target: str, population: DataFrame, genotype: str = "genotyp
     score = F.aggregate(F.zip_with(want, have, lambda u, v: F.coalesce(by[u][v], F.lit(0.0))), F.lit(0.0), lambda s, v: s + v)
     out = population.withColumn("score", score)
     if scale == "max":
-        top = out.agg(F.max("score").alias("__top"))
-        out = out.join(F.broadcast(top)).withColumn("score", 100 * F.col("score") / F.col("__top")).drop("__top")
+        out = out.withColumn("score", 100 * F.col("score") / out.agg(F.max("score")).scalar())
     return out
 
 

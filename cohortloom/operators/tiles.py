@@ -125,8 +125,8 @@ def snps_to_tiles(snps: DataFrame, tiles: DataFrame, o: TileOptions = TileOption
     t = tiles.select("chr", "start", "end", "target").distinct()
     sites = snps.select("chr", "pos").distinct()
     hit = overlap_join(sites, t, q=("pos", "pos"), maxgap=o.shoulder - 1)
-    off = t.agg(F.coalesce(F.bool_or(~F.col("target")), F.lit(False)).alias("__off"))
-    hit = hit.join(F.broadcast(off)).filter(~F.col("__off") | F.col("s_target"))
+    has_off = t.agg(F.coalesce(F.bool_or(~F.col("target")), F.lit(False))).scalar()
+    hit = hit.withColumn("__off", has_off).filter(~F.col("__off") | F.col("s_target"))
     best = first_row(hit, ["chr", "pos"], [F.col("s_start").asc()])
     return snps.join(best.select("chr", "pos", F.col("s_start").alias("start"), F.col("s_end").alias("end")), ["chr", "pos"])
 
@@ -343,9 +343,9 @@ def pool_filter(noise: DataFrame, tiles: DataFrame, hi_zero: float = 0.20, hi_no
     t = noise.join(tiles.select("chr", "start", "target", "hq", "sex_chr").distinct(), ["chr", "start"])
     if not enabled:
         return t.withColumn("keep", F.col("target"))
-    limit = t.filter((F.col("pool") == "male") & ~F.col("sex_chr")).agg(F.percentile("sd", F.lit(hi_noise)).alias("__lim"))
+    limit = t.filter((F.col("pool") == "male") & ~F.col("sex_chr")).agg(F.percentile("sd", F.lit(hi_noise))).scalar()
     ok = F.col("target") & (F.col("zero_rate") < hi_zero) & (F.col("mad") != 0) & (F.col("sd") < F.col("__lim")) & F.col("hq")
-    return t.join(F.broadcast(limit)).withColumn("keep", F.coalesce(ok, F.lit(False))).drop("__lim")
+    return t.withColumn("__lim", limit).withColumn("keep", F.coalesce(ok, F.lit(False))).drop("__lim")
 
 
 def sex_coverage_ratio(cov: DataFrame, tiles: DataFrame) -> DataFrame:
@@ -397,9 +397,9 @@ def pool_components(lr: DataFrame, n: int = 20) -> DataFrame:
     """
     import numpy as np
 
-    ids = [r["id"] for r in lr.select("id").distinct().orderBy("id").limit(5001).collect()]
-    if len(ids) > 5000:
-        raise ValueError("a pool of normals holds at most 5000 samples")
+    ids = [r["id"] for r in lr.select("id").distinct().orderBy("id").limit(1001).collect()]
+    if len(ids) > 1000:
+        raise ValueError("a pool of normals holds at most 1000 samples")
     wide = lr.groupBy("chr", "start").pivot("id", ids).agg(F.first("lr")).fillna(0.0)
     vec = wide.select("chr", "start", F.array(*[F.col(f"`{i}`") for i in ids]).alias("v"))
     m = len(ids)
@@ -426,9 +426,9 @@ def pool_denoise(lr: DataFrame, components: DataFrame) -> DataFrame:
 def pooled_ratio(tiles: DataFrame, noise: DataFrame, denoised: DataFrame, sex: DataFrame, hi_noise: float = 0.95) -> DataFrame:
     """Denoised ratio, except on noisy tiles, which use the ratio to the normal or the pool median."""
     auto = noise.filter((F.col("pool") == "male") & ~F.col("sex_chr"))
-    limit = auto.agg(F.percentile("sd", F.lit(hi_noise)).alias("__lim"))
+    limit = auto.agg(F.percentile("sd", F.lit(hi_noise))).scalar()
     t = tiles.join(sex.select("id", F.col("sex").alias("pool")), "id").join(noise.select("pool", "chr", "start", "sd", "median"), ["pool", "chr", "start"], "left")
-    t = t.join(denoised.select("id", "chr", "start", F.col("lr").alias("__pool")), ["id", "chr", "start"], "left").join(F.broadcast(limit))
+    t = t.join(denoised.select("id", "chr", "start", F.col("lr").alias("__pool")), ["id", "chr", "start"], "left").withColumn("__lim", limit)
     pair = log2_ratio(F.col("t_cov"), F.coalesce("n_cov", "median"))
     lr = F.when(F.col("sd") > F.col("__lim"), pair).otherwise(F.col("__pool"))
     return t.withColumn("lr", F.coalesce(lr, pair)).drop("__pool", "__lim", "sd", "median", "pool")
