@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 
 from cohortloom.operators import tiles as T
 from cohortloom.operators.variants import snp_prefilter
+from cohortloom.session import cut_lineage
+
+# Each stage joins statistics of its input back to it and so reads the input more than once; the
+# per-sample tables are stored between stages.
 
 
 def prepare_samples(snps: DataFrame, tiles: DataFrame, masks: Mapping[str, DataFrame], par: DataFrame, o: T.TileOptions = T.TileOptions(), min_depth: int = 6, x: str = "chrX", y: str = "chrY") -> dict[str, DataFrame]:
@@ -19,15 +23,17 @@ def prepare_samples(snps: DataFrame, tiles: DataFrame, masks: Mapping[str, DataF
     """
     depths = [c for c in ("t_dp", "n_dp") if c in snps.columns]
     v = snp_prefilter(snps, min_depth, depths).withColumn("population_af", F.coalesce("population_af", F.lit(0.5)))
-    v = T.mask_variants(v, masks["loose"], masks["strict"], masks["difficult"])
+    v = cut_lineage(T.mask_variants(v, masks["loose"], masks["strict"], masks["difficult"]))
     paired = "n_gt" in v.columns
     v = T.pass_snps(v, tiles, "pair" if paired else "tumor", o).withColumnRenamed("pass", "t_pass")
+    v = cut_lineage(v)
     v = T.pass_snps(v, tiles, "normal", o).withColumnRenamed("pass", "n_pass") if paired else v.withColumn("n_pass", F.lit(False))
     for c, t in (("n_gt", "string"), ("t_gt", "string")):
         if c not in v.columns:
             v = v.withColumn(c, F.lit(None).cast(t))
+    v = cut_lineage(v)
     good = T.high_quality(tiles, o)
-    sex = T.detect_sex(v, good, o, x, y)
+    sex = cut_lineage(T.detect_sex(v, good, o, x, y))
     return {"snps": v, "tiles": T.normal_copies(good, sex, par, x, y), "sex": sex}
 
 
@@ -38,12 +44,13 @@ def model_input(prepared: Mapping[str, DataFrame], sample: str = "tumor", o: T.T
     t = prepared["tiles"]
     for c in ("t", "n"):
         t = T.normalise_coverage(t, f"{c}_cov_raw", f"{c}_cov")
-    t = T.centre_log_ratio(T.raw_log_ratio(t, a, b, "lr"), "lr")
-    t = T.smooth_outliers(T.correct_bias(t, "lr", o), "lr")
+    t = cut_lineage(T.centre_log_ratio(T.raw_log_ratio(cut_lineage(t), a, b, "lr"), "lr"))
+    t = cut_lineage(T.correct_bias(t, "lr", o))
+    t = cut_lineage(T.smooth_outliers(t, "lr"))
     v = prepared["snps"].filter(F.col(pick["pass"])).select("id", "chr", "pos", "qual", F.col(pick["af"]).alias("af"), F.col(pick["dp"]).alias("dp"))
-    placed = T.snps_to_tiles(v, t, o)
+    placed = cut_lineage(T.snps_to_tiles(v, t, o))
     if max_snps is not None:
         placed = T.best_snps(placed, max_snps)
-    t = T.smooth_outliers(T.tile_baf(t, placed), "baf")
+    t = cut_lineage(T.smooth_outliers(cut_lineage(T.tile_baf(t, placed)), "baf"))
     stats = T.noise_sd(t.filter("hq"), "lr", out="sd_lr").join(T.noise_sd(t.filter("hq"), "baf", out="sd_baf"), "id", "full").fillna(0.0)
     return {"tiles": t, "snps": placed, "stats": stats}
