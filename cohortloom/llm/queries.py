@@ -3,21 +3,57 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import bpe
+from cohortloom.llm import bpe, decontaminate, langid, linefreq, quality, simhash
 from cohortloom.llm.common import read
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def documents(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
+    return read(spark, sf_dir, "documents").select("doc_id", "text", *more)
+
+
+def fold(n: int) -> Column:
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
+
+
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    made = bpe.encode_decode(docs, TOKENIZER)
+    made = bpe.encode_decode(documents(spark, sf_dir), TOKENIZER)
     return made.select("doc_id", "n_tokens", F.sha2("ids_packed", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
-QUERIES = {"op1_bpe": op1_bpe}
+def op2_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = linefreq.line_rules(documents(spark, sf_dir, "source"), keep_text=False)
+    return made.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_removed_lines", "n_left_words")
+
+
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = decontaminate.decontaminate(documents(spark, sf_dir), read(spark, sf_dir, "benchmark"))
+    ids = F.array_join("item_ids", ",")
+    return made.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"), F.sha2(ids.cast("binary"), 256).alias("items_sha256"), "contaminated")
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = documents(spark, sf_dir), read(spark, sf_dir, "labels")
+    learn = fold(5) != 0
+    made = quality.classify(docs, docs.filter(learn), labels.filter(learn))
+    return made.select("doc_id", (fold(5) == 0).alias("held_out"), "score", "predicted")
+
+
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir, "lang")
+    made = langid.identify(docs.select("doc_id", "text"), docs.filter(fold(3) != 1))
+    return made.select("doc_id", (fold(3) == 1).alias("held_out"), "lang_pred", "score")
+
+
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fps = documents(spark, sf_dir).select("doc_id", simhash.fingerprint(F.col("text")).alias("fp"))
+    return simhash.components(fps, fp="fp").select("doc_id", "fingerprint", "component_id")
+
+
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_line_rules, op5_decontaminate, op7_quality, op8_language, op9_simhash)}
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op2_line_rules": linefreq.ORACLE, "op5_decontaminate": decontaminate.ORACLE}
