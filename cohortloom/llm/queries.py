@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import bpe, decontaminate, langid, linefreq, quality, simhash
+from cohortloom.llm import bpe, decontaminate, langid, linefreq, pii, quality, simhash
 from cohortloom.llm.common import read
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -54,6 +54,12 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.components(fps, fp="fp").select("doc_id", "fingerprint", "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_line_rules, op5_decontaminate, op7_quality, op8_language, op9_simhash)}
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = pii.find(documents(spark, sf_dir), keep_text=False)
+    base = F.sha2(pii.as_text(F.col("base_spans")).cast("binary"), 256).alias("base_sha256")
+    return made.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", base, pii.as_text(F.col("spans")).alias("spans"))
+
+
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_line_rules, op5_decontaminate, op7_quality, op8_language, op9_simhash, op10_pii)}
 
 ORACLES: dict[str, str] = {"op2_line_rules": linefreq.ORACLE, "op5_decontaminate": decontaminate.ORACLE}
