@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import bpe, decontaminate, langid, linefreq, pii, quality, simhash
+from cohortloom.llm import bpe, chat, decontaminate, langid, linefreq, pii, quality, simhash, wrapper
 from cohortloom.llm.common import read
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -30,12 +30,20 @@ def op2_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_removed_lines", "n_left_words")
 
 
+def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrapper.extract(read(spark, sf_dir, "pages").select("page_id", "url", "html")).select("page_id", "url", "text", "n_chars")
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = decontaminate.decontaminate(documents(spark, sf_dir), read(spark, sf_dir, "benchmark"))
     ids = F.array_join("item_ids", ",")
     return made.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"), F.sha2(ids.cast("binary"), 256).alias("items_sha256"), "contaminated")
 
 
+def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.repair(read(spark, sf_dir, "conversations"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = documents(spark, sf_dir), read(spark, sf_dir, "labels")
     learn = fold(5) != 0
@@ -60,6 +68,6 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", base, pii.as_text(F.col("spans")).alias("spans"))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_line_rules, op5_decontaminate, op7_quality, op8_language, op9_simhash, op10_pii)}
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_line_rules, op3_html, op5_decontaminate, op6_chat, op7_quality, op8_language, op9_simhash, op10_pii)}
 
-ORACLES: dict[str, str] = {"op2_line_rules": linefreq.ORACLE, "op5_decontaminate": decontaminate.ORACLE}
+ORACLES: dict[str, str] = {"op2_line_rules": linefreq.ORACLE, "op5_decontaminate": decontaminate.ORACLE, "op6_chat": chat.oracle()}
