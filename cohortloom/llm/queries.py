@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import bpe, chat, decontaminate, langid, linefreq, pii, quality, simhash, wrapper
+from cohortloom.llm import bpe, chat, decontaminate, langid, linefreq, pii, quality, simhash, suffixes, wrapper
 from cohortloom.llm.common import read
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -34,6 +34,11 @@ def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wrapper.extract(read(spark, sf_dir, "pages").select("page_id", "url", "html")).select("page_id", "url", "text", "n_chars")
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = suffixes.dedup(documents(spark, sf_dir))
+    return made.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = decontaminate.decontaminate(documents(spark, sf_dir), read(spark, sf_dir, "benchmark"))
     ids = F.array_join("item_ids", ",")
@@ -68,6 +73,6 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", base, pii.as_text(F.col("spans")).alias("spans"))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_line_rules, op3_html, op5_decontaminate, op6_chat, op7_quality, op8_language, op9_simhash, op10_pii)}
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_line_rules, op3_html, op4_suffix_dedup, op5_decontaminate, op6_chat, op7_quality, op8_language, op9_simhash, op10_pii)}
 
 ORACLES: dict[str, str] = {"op2_line_rules": linefreq.ORACLE, "op5_decontaminate": decontaminate.ORACLE, "op6_chat": chat.oracle()}
