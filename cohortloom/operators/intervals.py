@@ -2,15 +2,15 @@
 
 The overlap join is a binned equi-join, so Spark hashes, spills and splits skew as for any other
 join.  Ranges up to ``max_bins`` bins long live on the fine level, longer ones on the coarse level
-(bins ``max_bins`` times wider): no row is copied more than ``max_bins`` + 4 times whatever its
-length, and a short range never meets another short one inside a coarse bin.
+(bins ``max_bins`` times wider): a fine row is copied at most ``max_bins`` + 4 times, a coarse one
+twice per coarse bin it spans, and a short range never meets another short one inside a coarse bin.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortloom.operators.common import first_row, join_stats, scan
@@ -170,13 +170,22 @@ def disjoin(df: DataFrame, keys: Sequence[str] = ("chr",), chunk: int = 1_000_00
     return nxt.filter(F.col("depth") > 0).select(*keys, "start", (F.col("__next") - 1).alias("end"), "depth")
 
 
-def subtract(a: DataFrame, b: DataFrame, sizes: DataFrame, keys: Sequence[str] = ("chr",)) -> DataFrame:
-    """Bases of ``a`` not in ``b`` as merged ranges."""
-    keep = gaps(b, sizes, keys)
-    pairs = overlap_join(merge_ranges(a, keys), keep, keys=keys)
-    return pairs.select(
-        *keys, F.greatest("start", "s_start").alias("start"), F.least("end", "s_end").alias("end")
-    )
+def subtract(a: DataFrame, b: DataFrame, keys: Sequence[str] = ("chr",), chunk: int = 1_000_000) -> DataFrame:
+    """Bases of ``a`` not in ``b`` as merged ranges, on any sequence and at any position.
+
+    One sweep over the ends of both merged sets keeps the depth of each.
+    """
+    keys = list(keys)
+
+    def ends(df: DataFrame, name: str, other: str) -> DataFrame:
+        pair = lambda p, d: F.struct(p.cast("long").alias("p"), F.lit(d).alias("d"))
+        e = merge_ranges(df, keys, chunk=chunk).select(*keys, F.explode(F.array(pair(F.col("start"), 1), pair(F.col("end") + 1, -1))).alias("e"))
+        return e.select(*keys, F.col("e.p").alias("start"), F.col("e.d").alias(name), F.lit(0).alias(other))
+
+    steps = ends(a, "__a", "__b").unionByName(ends(b, "__b", "__a")).groupBy(*keys, "start").agg(F.sum("__a").alias("__a"), F.sum("__b").alias("__b"))
+    depth = scan(steps, keys, "start", {"__na": ("sum", F.col("__a")), "__nb": ("sum", F.col("__b"))}, chunk=chunk, keep_chunk=True)
+    nxt = scan(depth, keys, "start", {"__next": ("last", F.col("start"))}, chunk=chunk, inclusive=False, reverse=True)
+    return nxt.filter((F.col("__na") > 0) & (F.col("__nb") == 0)).select(*keys, "start", (F.col("__next") - 1).alias("end"))
 
 
 def intersect_ranges(a: DataFrame, b: DataFrame, keys: Sequence[str] = ("chr",)) -> DataFrame:
@@ -213,18 +222,6 @@ def target_tiles(targets: DataFrame, sizes: DataFrame, centromeres: DataFrame, *
 
 # ---------------------------------------------------------------- as-of lookups
 
-def _territories(marks: DataFrame, keys: Sequence[str], pos: str, forward: bool, chunk: int) -> DataFrame:
-    """Turn one row per position into the stretch of positions it answers for.
-
-    Backward: from its own position up to the one before the next mark.  The stretches do not
-    overlap, so a point meets at most one of them.
-    """
-    nxt = scan(marks, keys, pos, {"__n": ("last", F.col(pos))}, chunk=chunk, inclusive=False, reverse=not forward)
-    if forward:
-        return nxt.withColumn("__lo", F.coalesce(F.col("__n") + 1, F.lit(0))).withColumn("__hi", F.col(pos))
-    return nxt.withColumn("__lo", F.col(pos)).withColumn("__hi", F.coalesce(F.col("__n") - 1, F.lit(None).cast("long")))
-
-
 def asof_join(
     points: DataFrame,
     marks: DataFrame,
@@ -233,36 +230,48 @@ def asof_join(
     at: str = "pos",
     mark: str = "pos",
     direction: str = "backward",
-    limit: int = 300_000_000,
     bin_width: int = 1_000_000,
     prefix: str = "m_",
 ) -> DataFrame:
     """Left join of each point with the nearest mark at or before it (or at or after it).
 
-    ``marks`` must hold one row per (keys, mark).  Only the marks are ordered; the points go
-    through a plain equi-join on (keys, bin), so a heavy key is split like any skewed join and no
-    point is ever sorted with its whole group.  ``limit`` is the highest position of the axis.
+    ``marks`` must hold one row per (keys, mark).  Inside a bin every mark answers for the positions
+    up to the next one; what lies beyond the bin's outermost mark is answered by one mark that is
+    carried in from the nearest bin with marks.  Stretches are open-ended, so no position is too
+    high.  Only the marks and one row per occupied bin are ordered; the points go through a plain
+    equi-join on (keys, bin), so a heavy key is split like any skewed join.
     """
     keys = list(keys)
     forward = direction == "forward"
-    terr = _territories(marks, keys, mark, forward, bin_width)
-    terr = terr.withColumn("__hi", F.coalesce(F.col("__hi"), F.lit(limit).cast("long")))
-    terr = terr.filter(F.col("__lo") <= F.col("__hi"))
-    terr = terr.withColumn("__tb", F.explode(F.sequence(_div(F.col("__lo"), bin_width), _div(F.col("__hi"), bin_width))))
-    rhs = terr.select(
-        *[F.col(c).alias(prefix + c) for c in marks.columns],
-        F.col("__lo").alias("__tlo"), F.col("__hi").alias("__thi"), "__tb",
+    row = F.struct(*[F.col(c) for c in marks.columns])
+    m = marks.select(*keys, F.col(mark).alias("__m"), row.alias("__row"), _div(F.col(mark), bin_width).alias("__tb"))
+    inside = Window.partitionBy(*keys, "__tb").orderBy("__m")
+    lo = F.lag("__m").over(inside) + 1 if forward else F.col("__m")
+    hi = F.col("__m") if forward else F.lead("__m").over(inside) - 1
+    own = m.select(*keys, "__tb", "__row", lo.cast("long").alias("__tlo"), hi.cast("long").alias("__thi"))
+    edge = F.min_by if forward else F.max_by
+    held = m.groupBy(*keys, "__tb").agg(edge("__row", "__m").alias("__edge"), F.min("__m").alias("__first"), F.max("__m").alias("__last"))
+    asked = points.select(*keys, _div(F.col(at), bin_width).alias("__tb")).distinct()
+    bins = asked.join(held, [*keys, "__tb"], "full")
+    before = Window.partitionBy(*keys).orderBy(F.col("__tb").desc() if forward else F.col("__tb").asc()).rowsBetween(Window.unboundedPreceding, -1)
+    carried = bins.select(
+        *keys, "__tb", F.last("__edge", ignorenulls=True).over(before).alias("__row"),
+        ((F.col("__last") + 1) if forward else F.lit(None)).cast("long").alias("__tlo"),
+        (F.lit(None) if forward else (F.col("__first") - 1)).cast("long").alias("__thi"),
+    ).filter(F.col("__row").isNotNull())
+    rhs = own.unionByName(carried).select(
+        *[F.col(f"__row.{c}").alias(prefix + c) for c in marks.columns], *[F.col(k).alias(f"__k_{k}") for k in keys], "__tlo", "__thi", "__tb"
     )
     lhs = points.withColumn("__pb", _div(F.col(at), bin_width))
-    cond = (F.col("__pb") == F.col("__tb")) & F.col(at).between(F.col("__tlo"), F.col("__thi"))
+    cond = (F.col("__pb") == F.col("__tb")) & (F.col("__tlo").isNull() | (F.col(at) >= F.col("__tlo"))) & (F.col("__thi").isNull() | (F.col(at) <= F.col("__thi")))
     for k in keys:
-        cond = cond & (F.col(k) == F.col(prefix + k))
+        cond = cond & (F.col(k) == F.col(f"__k_{k}"))
     return lhs.join(rhs, cond, "left").select(*points.columns, *[prefix + c for c in marks.columns])
 
 
 def overlap_flag(
     query: DataFrame, subject: DataFrame, flag: str, *, keys: Sequence[str] = ("chr",),
-    q: tuple[str, str] = ("start", "end"), limit: int = 300_000_000,
+    q: tuple[str, str] = ("start", "end"),
 ) -> DataFrame:
     """Whether any subject overlaps, without listing pairs.
 
@@ -270,7 +279,7 @@ def overlap_flag(
     at or after a: one as-of lookup per query row.
     """
     merged = merge_ranges(subject, keys)
-    hit = asof_join(query, merged, keys=keys, at=q[1], mark="start", limit=limit, prefix="__m_")
+    hit = asof_join(query, merged, keys=keys, at=q[1], mark="start", prefix="__m_")
     return hit.withColumn(flag, F.coalesce(F.col("__m_end") >= F.col(q[0]), F.lit(False))).select(*query.columns, flag)
 
 
@@ -297,7 +306,7 @@ def covered_fraction(
 
 def nearest(
     points: DataFrame, subject: DataFrame, *, keys: Sequence[str] = ("chr",), pos: str = "pos",
-    point_key: Sequence[str], limit: int = 300_000_000, prefix: str = "n_",
+    point_key: Sequence[str], prefix: str = "n_",
 ) -> DataFrame:
     """Closest range of each point (0 apart when inside); ties go to the lower start.
 
@@ -314,8 +323,8 @@ def nearest(
     pay = F.struct(*[F.col(c) for c in cols])
     ends = subject.groupBy(*keys, "end").agg(F.min_by(pay, F.col("start")).alias("r")).select(*keys, F.col("end").alias("mp"), "r")
     starts = subject.groupBy(*keys, "start").agg(F.min_by(pay, F.col("end")).alias("r")).select(*keys, F.col("start").alias("mp"), "r")
-    back = asof_join(points, ends, keys=keys, at=pos, mark="mp", limit=limit, prefix="__b_")
-    both = asof_join(back, starts, keys=keys, at=pos, mark="mp", direction="forward", limit=limit, prefix="__f_")
+    back = asof_join(points, ends, keys=keys, at=pos, mark="mp", prefix="__b_")
+    both = asof_join(back, starts, keys=keys, at=pos, mark="mp", direction="forward", prefix="__f_")
     full = join_stats(both, inside, point_key)
     d_back, d_fwd = F.col(pos) - F.col("__b_mp"), F.col("__f_mp") - F.col(pos)
     best = (

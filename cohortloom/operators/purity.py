@@ -61,11 +61,11 @@ def quick_cell_fractions(variants: DataFrame, segments: DataFrame, meta: DataFra
     return v.withColumn("__u", u).withColumn("m", F.greatest(F.lit(1.0), F.round("__u"))).withColumn("ccf", F.col("__u") / F.col("m")).drop("__u")
 
 
-def variants_near_segments(variants: DataFrame, segments: DataFrame, meta: DataFrame, limit: int = 300_000_000) -> DataFrame:
+def variants_near_segments(variants: DataFrame, segments: DataFrame, meta: DataFrame) -> DataFrame:
     """Nearest segment of the same sample for each variant position."""
     site = variants.select("id", "chr", "pos").distinct()
     s = segments.select("id", "chr", "start", "end", "C", "K", "sC", "nC")
-    near = nearest(site, s, keys=("id", "chr"), point_key=["id", "chr", "pos"], limit=limit, prefix="n_")
+    near = nearest(site, s, keys=("id", "chr"), point_key=["id", "chr", "pos"], prefix="n_")
     near = near.select("id", "chr", "pos", *[F.col(f"n_{c}").alias(c) for c in ("C", "K", "sC", "nC")])
     return variants.join(near, ["id", "chr", "pos"]).join(meta.select("id", "purity", "ploidy"), "id", "left")
 

@@ -42,9 +42,9 @@ def write_ranges(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     write_text(zero_based(df), path, header=False, mode=mode)
 
 
-def extended_annotation(old: DataFrame, targets: DataFrame, sizes: DataFrame, excluded: DataFrame | None = None, padding: int = 0) -> DataFrame:
+def extended_annotation(old: DataFrame, targets: DataFrame, excluded: DataFrame | None = None, padding: int = 0) -> DataFrame:
     """Annotated regions plus padded new targets (outside the excluded ones), merged."""
-    new = subtract(targets, excluded, sizes) if excluded is not None else targets.select("chr", "start", "end")
+    new = subtract(targets, excluded) if excluded is not None else targets.select("chr", "start", "end")
     return union_ranges(old, resize(new, padding))
 
 

@@ -123,8 +123,7 @@ def _(d):
    union all select chr, max("end") + 1, me from cut group by chr, ms, me union all select chr, ms, me from pieces where start is null)
 select chr, cast(a as bigint) as start, cast(b as bigint) as "end" from l where a <= b""", ("segment",))
 def _(d):
-    sizes = d.sizes.withColumn("length", F.lit(10**10))
-    return I.subtract(_wide(d), d.segment.filter("C > 3"), sizes)
+    return I.subtract(_wide(d), d.segment.filter("C > 3"))
 
 
 @query("target_tiles", f"""with {WIDE}, {MERGED}, e as (select chr, start, "end" from mg where chr in (select chr from sizes) union all select chr, 0, 0 from sizes union all select chr, length + 1, length + 1 from sizes),
@@ -135,19 +134,19 @@ def _(d):
     return I.target_tiles(_wide(d), d.sizes, d.gene.filter("somatic_art"), shoulder=300, min_gap=1000)
 
 
-@query("asof_join", """select q.event_id, m.mpos as m_pos from (select * from point where value > 20) q left join lateral (select max(pos) as mpos from point m where m.value > 100 and m.chr = q.chr and m.pos <= q.pos) m on true""", ("point",))
+@query("asof_join", """select q.event_id, m.mpos as m_pos from point q left join lateral (select max(pos) as mpos from point m where m.value > 100 and m.chr = q.chr and m.pos <= q.pos) m on true""", ("point",))
 def _(d):
     marks = d.point.filter("value > 100").select("chr", "pos").distinct()
-    return I.asof_join(d.point.filter("value > 20"), marks, limit=10_000_000, bin_width=50_000).select("event_id", "m_pos")
+    return I.asof_join(d.point, marks, bin_width=50_000).select("event_id", "m_pos")
 
 
 @query("nearest", """
 with seg as (select chr, pos as start, pos + 600 as "end", event_id as sid from point where value > 60)
 select event_id, n_sid from (select q.event_id, s.sid as n_sid, row_number() over (partition by q.event_id order by case when q.pos between s.start and s."end" then 0 when s."end" < q.pos then q.pos - s."end" else s.start - q.pos end, s.start, s."end") rn
-  from point q join seg s on s.chr = q.chr where q.value < 3) where rn = 1""", ("point",))
+  from point q join seg s on s.chr = q.chr) where rn = 1""", ("point",))
 def _(d):
     seg = d.point.filter("value > 60").select("chr", F.col("pos").alias("start"), (F.col("pos") + 600).alias("end"), F.col("event_id").alias("sid"))
-    return I.nearest(d.point.filter("value < 3"), seg, point_key=["event_id"], limit=10_000_000).select("event_id", "n_sid")
+    return I.nearest(d.point, seg, point_key=["event_id"]).select("event_id", "n_sid")
 
 
 @query("pair_overlap", """

@@ -48,7 +48,7 @@ def test_algebra_against_base_sets(spark):
     back = lambda df: {(r[0], p) for r in df.select("chr", "start", "end").collect() for p in range(r[1], r[2] + 1)}
     assert back(I.union_ranges(da, db)) == A | B
     assert back(I.intersect_ranges(da, db)) == A & B
-    assert back(I.subtract(da, db, sizes)) == A - B
+    assert back(I.subtract(da, db)) == A - B
     pieces = I.disjoin(da, chunk=50).collect()
     assert sum(p["end"] - p["start"] + 1 for p in pieces) == len(A)
     for p in pieces:
@@ -58,7 +58,7 @@ def test_algebra_against_base_sets(spark):
 def test_flags_coverage_and_nearest_against_brute_force(spark):
     a, da = ranges(spark, 80, 5)
     b, db = ranges(spark, 20, 6)
-    hit = dict(rows(I.overlap_flag(da, db, "hit", limit=10_000), "name", "hit"))
+    hit = dict(rows(I.overlap_flag(da, db, "hit"), "name", "hit"))
     for x in a:
         assert hit[x[4]] == any(x[0] == y[0] and x[1] <= y[2] and y[1] <= x[2] for y in b)
     share = dict(rows(I.covered_fraction(da, db, "f"), "name", "f"))
@@ -67,7 +67,7 @@ def test_flags_coverage_and_nearest_against_brute_force(spark):
         n = sum((x[0], p) in covered for p in range(x[1], x[2] + 1))
         assert abs(share[x[4]] - n / (x[2] - x[1] + 1)) < 1e-12
     pts = da.select("chr", F.col("start").alias("pos"), "name")
-    got = dict(rows(I.nearest(pts, db, point_key=["name"], limit=10_000), "name", "n_start"))
+    got = dict(rows(I.nearest(pts, db, point_key=["name"]), "name", "n_start"))
     for x in a:
         cand = [y for y in b if y[0] == x[0]]
         dist = lambda y: 0 if y[1] <= x[1] <= y[2] else (x[1] - y[2] if y[2] < x[1] else y[1] - x[1])
@@ -75,6 +75,31 @@ def test_flags_coverage_and_nearest_against_brute_force(spark):
         assert got[x[4]] == best[1]
 
 
+def test_no_position_is_too_high(spark):
+    far = 3_000_000_000
+    q = spark.createDataFrame([("c", 10, 20, "a"), ("c", far, far + 9, "b"), ("c", 2 * far, 2 * far, "x"), ("d", 5, 5, "d")], "chr string, start long, end long, name string")
+    s = spark.createDataFrame([("c", 18, 30), ("c", far + 9, far + 10)], "chr string, start long, end long")
+    assert dict(rows(I.overlap_flag(q, s, "hit"), "name", "hit")) == {"a": True, "b": True, "x": False, "d": False}
+    pts = q.select("chr", F.col("start").alias("pos"), "name")
+    assert dict(rows(I.nearest(pts, s, point_key=["name"]), "name", "n_start")) == {"a": 18, "b": far + 9, "x": far + 9, "d": None}
+    marks = s.select("chr", F.col("start").alias("pos"))
+    assert dict(rows(I.asof_join(pts, marks), "name", "m_pos")) == {"a": None, "b": 18, "x": far + 9, "d": None}
+    assert dict(rows(I.asof_join(pts, marks, direction="forward"), "name", "m_pos")) == {"a": 18, "b": far + 9, "x": None, "d": None}
+    assert rows(I.subtract(q, s)) == [("c", 10, 17), ("c", far, far + 8), ("c", 2 * far, 2 * far), ("d", 5, 5)]
+
+
+def test_asof_against_brute_force(spark):
+    r = random.Random(12)
+    marks = sorted({r.randint(0, 5000) for _ in range(60)})
+    pts = [(i, r.randint(-10, 6000)) for i in range(400)]
+    m, p = spark.createDataFrame([("c", x) for x in marks], "chr string, pos long"), spark.createDataFrame([("c", x, i) for i, x in pts], "chr string, pos long, i long")
+    for width in (7, 100, 10_000):
+        back = dict(rows(I.asof_join(p, m, bin_width=width), "i", "m_pos"))
+        ahead = dict(rows(I.asof_join(p, m, bin_width=width, direction="forward"), "i", "m_pos"))
+        for i, x in pts:
+            assert back[i] == max((y for y in marks if y <= x), default=None) and ahead[i] == min((y for y in marks if y >= x), default=None)
+
+
 def test_tiling_covers_every_base_once(spark):
     sizes = spark.createDataFrame([("a", 25), ("b", 10)], "chr string, length long")
     assert rows(I.tile_sequences(sizes, 10)) == [("a", 1, 10), ("a", 11, 20), ("a", 21, 25), ("b", 1, 10)]
