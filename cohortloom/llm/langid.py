@@ -24,6 +24,8 @@ from cohortloom.llm.common import add_struct, prepare
 _LETTERS = re.compile(r"[^\W\d_]+")
 #: Words a worker remembers, characters of the longest one that is remembered, and bits of one language's sum.
 MEMO, MEMO_CHARS, BITS = 200_000, 48, 40
+#: Languages one model may have.
+MAX_LANGUAGES = 1_000
 
 FIELDS = StructType([StructField("lang_pred", StringType()), StructField("score", DoubleType()), StructField("phrases", ArrayType(LongType()))])
 
@@ -32,9 +34,13 @@ def sample(docs: DataFrame, text: str, lang: str, chars: int) -> list[tuple[str,
     """(language, text): whole texts in the order of a hash, for each language up to ``chars`` characters in all."""
     t = docs.select(F.col(f"`{lang}`").alias("lang"), F.col(f"`{text}`").alias("text")).filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") <= chars))
     t = t.withColumn("n", F.length("text")).withColumn("h", F.xxhash64("text"))
-    # Only about four times what is wanted of each language goes into the ordered sample.
-    share = t.groupBy("lang").agg(F.sum("n").alias("all")).select(F.col("lang").alias("l"), (F.lit(4.0 * chars) / F.greatest("all", F.lit(1))).alias("share"))
-    few = t.join(share, F.col("lang") == F.col("l")).filter(F.pmod(F.col("h"), F.lit(1 << 20)) < F.col("share") * (1 << 20)).select("lang", "text", "n", "h").dropDuplicates(["lang", "h"])
+    # Only about four times what is wanted of each language goes into the ordered sample, and the filter comes before any
+    # shuffle of texts: the sizes are one number per language, joined by broadcast.
+    sizes = t.groupBy("lang").agg(F.sum("n").alias("all")).limit(MAX_LANGUAGES + 1).collect()
+    if len(sizes) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    share = docs.sparkSession.createDataFrame([(r.lang, min(1.0, 4.0 * chars / max(1, r["all"]))) for r in sizes], "l string, share double")
+    few = t.join(F.broadcast(share), F.col("lang") == F.col("l")).filter(F.pmod(F.col("h"), F.lit(1 << 20)) < F.col("share") * (1 << 20)).select("lang", "text", "n", "h").dropDuplicates(["lang", "h"])
     order = Window.partitionBy("lang").orderBy("h").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     picked = few.withColumn("sum", F.sum("n").over(order)).filter(F.col("sum") <= chars).select("lang", "text")
     return sorted((r.lang, r.text) for r in picked.collect())  # bounded: chars per language
