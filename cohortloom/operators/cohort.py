@@ -411,15 +411,19 @@ def review_features(hits: DataFrame, somatic: DataFrame, germline: DataFrame, ge
 # ---------------------------------------------------------------- microsatellites
 
 def homopolymer_instability(variants: DataFrame, homopolymers: DataFrame, targets: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Score per sample (share of length 7-20 homopolymers in targets with an indel) and per-length frequency."""
+    """Score per sample and per-length frequency.
+
+    The score is the percentage of homopolymers of length 7 to 20 in targets that have an indel; only
+    variants whose ``pass`` is the text "pass" count.
+    """
     from cohortloom.operators.intervals import overlap_join, with_overlap
 
     sites = with_overlap(homopolymers.select("chr", "start", "end").distinct(), targets).withColumn("length", (F.col("end") - F.col("start") + 1).cast("int"))
-    indel = variants.filter(F.col("str") & F.col("str_ru").isin("A", "C", "G", "T")).select("id", "chr", "pos", (F.col("pos") + 1).alias("__e")).distinct()
+    indel = variants.filter((F.col("pass") == "pass") & F.col("str") & F.col("str_ru").isin("A", "C", "G", "T")).select("id", "chr", "pos", (F.col("pos") + 1).alias("__e")).distinct()
     hit = overlap_join(indel, sites, q=("pos", "__e")).select("id", F.col("s_chr").alias("chr"), F.col("s_start").alias("start"), F.col("s_length").alias("length")).distinct()
     per = hit.groupBy("id", "length").agg(F.count(F.lit(1)).alias("indels"))
     n = sites.groupBy("length").agg(F.count(F.lit(1)).alias("sites"))
     freq = grid(ids.select("id").distinct(), n).join(per, ["id", "length"], "left").withColumn("indels", F.coalesce("indels", F.lit(0).cast("bigint")))
     freq = freq.withColumn("freq", F.col("indels") / F.col("sites"))
-    score = freq.filter(F.col("length").between(7, 20)).groupBy("id").agg((F.sum("indels") / F.sum("sites")).alias("score"))
+    score = freq.filter(F.col("length").between(7, 20)).groupBy("id").agg((100 * F.sum("indels") / F.sum("sites")).alias("score"))
     return score, freq

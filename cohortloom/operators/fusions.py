@@ -378,8 +378,8 @@ def recurrent(bpt: DataFrame, o: FusionOptions = FusionOptions()) -> DataFrame:
     t = base
     for e, p, q in (("5", "locus_id_3_1", "locus_id_5_2"), ("3", "locus_id_5_1", "locus_id_3_2")):
         end = ["id", f"chr_{e}", f"pos_{e}", f"str_{e}"]
-        # Distinct partners are counted over all rows of the end, as several partners may be unspliced.
-        partner = F.struct(F.coalesce(p, F.lit("")), F.coalesce(q, F.lit("")))
+        # Only rows of the selection count, for partners as for rows.
+        partner = F.when(F.col("__use"), F.struct(F.coalesce(p, F.lit("")), F.coalesce(q, F.lit(""))))
         stats = base.groupBy(*end).agg(F.count(F.when(F.col("__use"), 1)).alias("__n"), F.count_distinct(partner).alias("__u"))
         rec = F.when(F.col("__use"), F.col("__n"))
         t = join_stats(t, stats, end)

@@ -9,6 +9,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,7 +44,9 @@ class TileOptions:
     sex_y_zero: float = 0.05
     sex_min_x_snps: int = 12
     gc_range_on: tuple[float, float] = (0.2, 0.8)
+    gc_range_off: tuple[float, float] | None = None
     gc_span: float = 0.5
+    gc_span_off: float | None = None
     smooth_window: int = 13
 
 
@@ -96,8 +100,8 @@ def pass_snps(snps: DataFrame, tiles: DataFrame, mode: str, o: TileOptions = Til
     lo = F.when(F.first("source") == "genome", F.percentile(depth, F.lit(0.05))).otherwise(F.percentile(depth, F.lit(0.01)))
     hi = F.when(F.first("source") == "genome", F.percentile(depth, F.lit(0.95))).otherwise(F.percentile(depth, F.lit(0.99)))
     out = with_group(snps, keys, {"__lo": lo, "__hi": hi})
-    splash = resize(tiles.filter("target").select("chr", "start", "end").distinct(), -(-o.shoulder))
-    out = overlap_flag(out, splash, "__on", q=("pos", "pos"))
+    splash = resize(tiles.filter("target").select("id", "chr", "start", "end").distinct(), o.shoulder)
+    out = overlap_flag(out, splash, "__on", keys=("id", "chr"), q=("pos", "pos"))
     pick = lambda g, t: F.when(genome, g).otherwise(t)
     af = F.col("population_af")
     common = (af > pick(0.025, 0.01)) & (af < pick(0.975, 0.99))
@@ -121,14 +125,18 @@ def pass_snps(snps: DataFrame, tiles: DataFrame, mode: str, o: TileOptions = Til
 # ---------------------------------------------------------------- SNPs on tiles
 
 def snps_to_tiles(snps: DataFrame, tiles: DataFrame, o: TileOptions = TileOptions(), key: Sequence[str] = ("id", "chr", "pos")) -> DataFrame:
-    """Tile of each SNP within the shoulder, target tiles first; one tile per SNP where targets exist."""
-    t = tiles.select("chr", "start", "end", "target").distinct()
-    sites = snps.select("chr", "pos").distinct()
-    hit = overlap_join(sites, t, q=("pos", "pos"), maxgap=o.shoulder - 1)
-    has_off = t.agg(F.coalesce(F.bool_or(~F.col("target")), F.lit(False))).scalar()
-    hit = hit.withColumn("__off", has_off).filter(~F.col("__off") | F.col("s_target"))
-    best = first_row(hit, ["chr", "pos"], [F.col("s_start").asc()])
-    return snps.join(best.select("chr", "pos", F.col("s_start").alias("start"), F.col("s_end").alias("end")), ["chr", "pos"])
+    """Tiles of each SNP within the shoulder, among the tiles of its own sample.
+
+    A sample with off-target tiles has its SNPs on target tiles only, one each; a sample without
+    (genome-wide) has them on every tile they reach.
+    """
+    sites = snps.select("id", "chr", "pos").distinct()
+    hit = overlap_join(sites, tiles.select("id", "chr", "start", "end", "target").distinct(), keys=("id", "chr"), q=("pos", "pos"), maxgap=o.shoulder - 1)
+    panel = tiles.groupBy("id").agg(F.coalesce(F.bool_or(~F.col("target")), F.lit(False)).alias("__off"))
+    hit = hit.join(panel, "id").filter(~F.col("__off") | F.col("s_target"))
+    one = first_row(hit.filter("__off"), ["id", "chr", "pos"], [F.col("s_start").asc(), F.col("s_end").asc()])
+    placed = one.unionByName(hit.filter(~F.col("__off"))).select("id", "chr", "pos", F.col("s_start").alias("start"), F.col("s_end").alias("end"))
+    return snps.join(placed, ["id", "chr", "pos"])
 
 
 def tile_baf(tiles: DataFrame, placed: DataFrame) -> DataFrame:
@@ -226,16 +234,19 @@ def gc_curve(tiles: DataFrame, lr: str, bias: str = "gc", span: float = 0.5, bin
 
     Two levels: tiles are averaged into fixed bias bins (bounded by ``bins`` per group whatever the
     tile number), then each bin gets a tricube-weighted linear fit over the nearest ``span`` of the
-    weight.  The fit is closed-form sums over pairs of bins.
+    weight.  The fit is closed-form sums over pairs of bins.  It uses high-quality tiles, and is
+    evaluated at the bins of all tiles.
     """
     keys = ["id", "target"]
     b = F.least(F.floor(F.col(bias) * bins), F.lit(bins - 1)).cast("int")
-    use = tiles.filter(F.col("hq") & F.col(lr).isNotNull() & F.col(bias).isNotNull())
-    pts = use.groupBy(*keys, b.alias("bin")).agg(F.avg(bias).alias("x"), F.avg(lr).alias("y"), F.count(F.lit(1)).cast("double").alias("w"))
+    fits = F.col("hq") & F.col(lr).isNotNull()
+    known = tiles.filter(F.col(bias).isNotNull())
+    at = known.groupBy(*keys, b.alias("bin")).agg(F.coalesce(F.avg(F.when(fits, F.col(bias))), F.avg(bias)).alias("x"))
+    pts = known.filter(fits).groupBy(*keys, b.alias("bin")).agg(F.avg(bias).alias("x"), F.avg(lr).alias("y"), F.count(F.lit(1)).cast("double").alias("w"))
     # At most `bins` points per group: the pairs are bounded by bins squared.
     other = pts.select(*[F.col(k).alias(f"o_{k}") for k in keys], F.col("x").alias("ox"), F.col("y").alias("oy"), F.col("w").alias("ow"))
     cond = (F.col("id") == F.col("o_id")) & (F.col("target") == F.col("o_target"))
-    pair = pts.join(other, cond).withColumn("d", F.abs(F.col("ox") - F.col("x")))
+    pair = at.join(other, cond).withColumn("d", F.abs(F.col("ox") - F.col("x")))
     near = Window.partitionBy(*keys, "bin").orderBy("d", "ox")
     cum = pair.withColumn("__c", F.sum("ow").over(near.rowsBetween(Window.unboundedPreceding, -1))).withColumn("__t", F.sum("ow").over(Window.partitionBy(*keys, "bin")))
     inside = cum.filter(F.coalesce(F.col("__c"), F.lit(0.0)) < F.col("__t") * span)
@@ -251,19 +262,23 @@ def gc_curve(tiles: DataFrame, lr: str, bias: str = "gc", span: float = 0.5, bin
 
 
 def correct_bias(tiles: DataFrame, lr: str, o: TileOptions = TileOptions(), bias: str = "gc", offset: bool = True, bins: int = 200) -> DataFrame:
-    """Residual of ``lr`` over the bias trend where the bias value is in range.
+    """Residual of ``lr`` over the bias trend where the bias value is in range, on and off target apart.
+
+    A group without high-quality tiles has no trend and stays as it is.
 
     The trend is evaluated per bin of the bias variable (an approximation of a full local
     regression; the error is the trend's change within one bin).
     """
-    curve = gc_curve(tiles, lr, bias, o.gc_span, bins)
+    spans = {True: o.gc_span, False: o.gc_span_off}
+    curves = [gc_curve(tiles.filter(F.col("target") == on), lr, bias, span, bins) for on, span in spans.items() if span is not None]
+    curve = reduce(DataFrame.unionByName, curves)
     b = F.least(F.floor(F.col(bias) * bins), F.lit(bins - 1)).cast("int")
     out = tiles.withColumn("bin", b).join(curve, ["id", "target", "bin"], "left").withColumn("__r", F.col(lr) - F.col("trend"))
     if offset:
         out = with_group(out, ["id", "target"], {"__off": F.avg(F.when(F.col("hq"), F.col("__r")))})
         out = out.withColumn("__r", F.col("__r") - F.col("__off")).drop("__off")
-    lo, hi = o.gc_range_on
-    usable = F.col("target") & (F.col(bias) > lo) & (F.col(bias) < hi)
+    between = lambda r: (F.col(bias) > r[0]) & (F.col(bias) < r[1]) if r else F.lit(False)
+    usable = F.when(F.col("target"), between(o.gc_range_on)).otherwise(between(o.gc_range_off)) & F.col("trend").isNotNull()
     return out.withColumn(lr, F.when(F.coalesce(usable, F.lit(False)), F.col("__r")).otherwise(F.col(lr))).drop("bin", "trend", "__r")
 
 

@@ -365,8 +365,9 @@ def merge_phased(variants: DataFrame, bases: DataFrame | None, maxgap: int, keys
     """Merge phased variants at most ``maxgap`` bases apart into one multi-base variant.
 
     ``variants``: keys, chr, pos, ref, alt, pid.  ``bases``: chr, pos, base of the reference, used
-    for the bases between merged variants.  Unphased and isolated variants pass through.  A clump is
-    short (a few phased variants), so its alleles are joined as one small sorted list.
+    for the bases between merged variants.  Unphased and isolated variants pass through.  A merged
+    variant is the record of its first member with new alleles.  A clump is short (a few phased
+    variants), so its alleles are joined as one small sorted list.
     """
     group = [*keys, "chr", "pid"]
     loose = variants.filter(F.col("pid").isNull())
@@ -380,16 +381,19 @@ def merge_phased(variants: DataFrame, bases: DataFrame | None, maxgap: int, keys
     sized = with_group(tagged, [*group, "clump"], {"__n": F.count(F.lit(1)), "__last": F.max("end")})
     single = sized.filter(F.col("__n") == 1).select(*variants.columns)
     many = sized.filter(F.col("__n") > 1)
-    parts = many.select(*group, "clump", "pos", "ref", "alt", "end")
+    rest = [c for c in variants.columns if c not in (*group, "pos", "ref", "alt", "var_id")]
+    payload = F.struct(*[F.col(c) for c in rest]) if rest else F.struct(F.lit(True).alias("none"))
+    parts = many.select(*group, "clump", "pos", "ref", "alt", "end", payload.alias("__rest"))
     if bases is not None:
         span = many.groupBy(*group, "clump").agg(F.max("__last").alias("__last"))
         covered = many.select(*group, "clump", F.explode(F.sequence("pos", "end")).alias("pos")).distinct()
         need = span.select(*group, "clump", F.explode(F.sequence("clump", "__last")).alias("pos")).join(covered, [*group, "clump", "pos"], "left_anti")
         fill = need.join(bases, ["chr", "pos"]).select(*group, "clump", "pos", F.col("base").alias("ref"), F.col("base").alias("alt"), F.col("pos").alias("end"))
-        parts = parts.unionByName(fill)
+        parts = parts.unionByName(fill, allowMissingColumns=True)
     text = lambda c: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "end", "ref", "alt"))), lambda e: e[c]), "")
-    merged = parts.groupBy(*group, "clump").agg(text("ref").alias("ref"), text("alt").alias("alt"))
-    merged = merged.withColumn("pos", F.col("clump")).drop("clump")
+    first = F.min(F.when(F.col("__rest").isNotNull(), F.struct("pos", "end", "ref", "alt", "__rest"))).getField("__rest")
+    merged = parts.groupBy(*group, "clump").agg(text("ref").alias("ref"), text("alt").alias("alt"), first.alias("__rest"))
+    merged = merged.select(*group, F.col("clump").alias("pos"), "ref", "alt", *[F.col(f"__rest.{c}").alias(c) for c in rest])
     out = loose.unionByName(single).unionByName(merged, allowMissingColumns=True)
     return out.withColumn("var_id", F.concat("chr", F.lit(":"), F.col("pos").cast("string"), F.lit("_"), "ref", F.lit("/"), "alt"))
 

@@ -202,12 +202,12 @@ def _(d):
 
 @query("homopolymer_instability", """
 with hp as (select distinct 'chr' || (p_partkey % 7 + 1) as chr, p_partkey * 1000 + 1 as start, p_partkey * 1000 + p_size as "end" from part), st as (select *, "end" - start + 1 as len from hp h where exists (select 1 from gene g where g.chr = h.chr and g.start <= h."end" and g."end" + 3000 >= h.start)),
- iv as (select distinct id, chr, pos from variant where str), h as (select distinct iv.id, st.chr, st.start, st.len from iv join st on st.chr = iv.chr and st.start <= iv.pos + 1 and st."end" >= iv.pos),
+ iv as (select distinct id, chr, pos from variant where str and pon is null), h as (select distinct iv.id, st.chr, st.start, st.len from iv join st on st.chr = iv.chr and st.start <= iv.pos + 1 and st."end" >= iv.pos),
  n as (select sum(1) as sites from st where len between 7 and 20), i as (select id, count(*) as k from h where len between 7 and 20 group by 1)
-select m.id, round(coalesce(i.k, 0) / n.sites, 6) as score from meta m cross join n left join i on i.id = m.id""", ("variant", "gene", "meta"))
+select m.id, round(100 * coalesce(i.k, 0) / n.sites, 6) as score from meta m cross join n left join i on i.id = m.id""", ("variant", "gene", "meta"))
 def _(d):
     hp = d.part.select(F.concat(F.lit("chr"), (F.col("p_partkey") % 7 + 1).cast("string")).alias("chr"), (F.col("p_partkey") * 1000 + 1).alias("start"), (F.col("p_partkey") * 1000 + F.col("p_size")).alias("end"))
-    score, _freq = C.homopolymer_instability(d.variant, hp, d.gene.withColumn("end", F.col("end") + 3000), d.meta)
+    score, _freq = C.homopolymer_instability(d.variant.withColumn("pass", F.when(F.col("pon").isNull(), "pass").otherwise("fail")), hp, d.gene.withColumn("end", F.col("end") + 3000), d.meta)
     return score.withColumn("score", F.round("score", 6))
 
 

@@ -148,8 +148,8 @@ def _(d):
 
 HR = """us as (select *, l1 = 'spn' and l2 = 'dist' and d2a and art_5 not in ('rpx', 'ret', 'cmt') and art_3 not in ('rpx', 'ret', 'cmt') as use from lv),
  rc as (select *, case when use then sum(cast(use as int)) over (partition by id, chr_5, pos_5, str_5) else 0 end as rec_5, case when use then sum(cast(use as int)) over (partition by id, chr_3, pos_3, str_3) else 0 end as rec_3 from us),
- d5 as (select id, chr_5, pos_5, str_5, count(distinct l31 || '|' || l52) as u5 from lv group by all), d3 as (select id, chr_3, pos_3, str_3, count(distinct l51 || '|' || l32) as u3 from lv group by all),
- ru as (select rc.*, case when rec_5 > 1 then u5 when use then 1 else 0 end as unq_rec_5, case when rec_3 > 1 then u3 when use then 1 else 0 end as unq_rec_3 from rc join d5 using (id, chr_5, pos_5, str_5) join d3 using (id, chr_3, pos_3, str_3)),
+ d5 as (select id, chr_5, pos_5, str_5, count(distinct l31 || '|' || l52) as u5 from us where use group by all), d3 as (select id, chr_3, pos_3, str_3, count(distinct l51 || '|' || l32) as u3 from us where use group by all),
+ ru as (select rc.*, case when rec_5 > 1 then u5 when use then 1 else 0 end as unq_rec_5, case when rec_3 > 1 then u3 when use then 1 else 0 end as unq_rec_3 from rc left join d5 using (id, chr_5, pos_5, str_5) left join d3 using (id, chr_3, pos_3, str_3)),
  hr as (select *, bool_or(unq_rec_5 >= 2 or unq_rec_3 >= 2) over (partition by id, l1, chr_5, pos_5, str_5) or bool_or(unq_rec_5 >= 2 or unq_rec_3 >= 2) over (partition by id, l1, chr_3, pos_3, str_3) as hr_bpt from ru)"""
 
 

@@ -89,16 +89,26 @@ def _(d):
     return T.pool_denoise(e, T.pool_components(e, 3)).select("id", "chr", "start", R("lr", 4))
 
 
-@query("gc_correction")
+@query("gc_correction", f"""with {TILE}, t as (select *, (start / 3600 % 97) / 97 as gc, log2(cov) as lr, cast(least(floor((start / 3600 % 97) / 97 * 200), 199) as int) as bin from tile),
+ pts as (select id, target, bin, avg(gc) as ox, avg(lr) as oy, count(*) as ow from t where hq group by 1, 2, 3), ev as (select id, target, bin, coalesce(avg(case when hq then gc end), avg(gc)) as x from t group by 1, 2, 3),
+ pr as (select ev.*, ox, oy, ow, abs(ox - x) as d from ev join pts on pts.id = ev.id and pts.target = ev.target),
+ cu as (select *, coalesce(sum(ow) over (partition by id, target, bin order by d, ox rows between unbounded preceding and 1 preceding), 0) as c, sum(ow) over (partition by id, target, bin) as tot from pr),
+ k as (select *, max(d) over (partition by id, target, bin) as h from cu where c < tot * 0.5), w as (select *, ow * case when h > 0 then pow(1 - pow(least(d / (h * 1.000001), 1), 3), 3) else 1 end as kk, ox - x as dx from k),
+ s as (select id, target, bin, sum(kk) as s0, sum(kk * dx) as s1, sum(kk * dx * dx) as s2, sum(kk * oy) as t0, sum(kk * dx * oy) as t1 from w group by 1, 2, 3),
+ r as (select t.*, lr - case when abs(s0 * s2 - s1 * s1) > 1e-12 then (s2 * t0 - s1 * t1) / (s0 * s2 - s1 * s1) else t0 / s0 end as r from t left join s using (id, target, bin))
+select id, chr, start, round(case when target and gc > 0.2 and gc < 0.8 and r is not null then r - avg(case when hq then r end) over (partition by id, target) else lr end, 4) as lr from r""")
 def _(d):
     t = _tiles(d).withColumns({"gc": F.col("start") / 3600 % 97 / 97, "lr": F.log2("cov")})
     return T.correct_bias(t, "lr").select("id", "chr", "start", R("lr", 4))
 
 
-@query("snps_to_tiles", f"""with {TILE}, tt as (select distinct chr, start, "end", target from tile), h as (select p.event_id, t.start, row_number() over (partition by p.chr, p.pos, p.event_id order by t.start) rn from point p join tt t on t.chr = p.chr and p.pos between t.start - 300 and t."end" + 300 where t.target and p.value > 30)
-select event_id, start from h where rn = 1""", ("point",))
+@query("snps_to_tiles", f"""with {TILE}, tl as (select * from tile where cast(id as bigint) % 3 <> 0 or target), off as (select id, bool_or(not target) as o from tl group by 1),
+ h as (select p.event_id, t.start, o, row_number() over (partition by p.event_id order by t.start) rn from point p join tl t on t.id = p.id and t.chr = p.chr and p.pos between t.start - 300 and t."end" + 300 join off on off.id = p.id where t.target or not o)
+select event_id, start from h where rn = 1 or not o""", ("point",))
 def _(d):
-    return T.snps_to_tiles(d.point.filter("value > 30"), _tiles(d)).select("event_id", "start")
+    # Every third sample is without off-target tiles.
+    tiles = _tiles(d).filter((F.col("id").cast("bigint") % 3 != 0) | F.col("target"))
+    return T.snps_to_tiles(d.point, tiles).select("event_id", "start")
 
 
 @query("tile_baf", f"""with s as (select id, chr, pos, value / 500 as af, 20 + event_id % 30 as dp, (pos - 1) // 3600 * 3600 + 1 as start from point where pos > 0)
@@ -114,8 +124,8 @@ SNP = """snp as (select id, chr, pos, event_id, case when event_id % 3 = 0 then
 
 
 @query("pass_snps", f"""with {SNP}, q as (select id, source, quantile_cont(n_dp, case when source = 'genome' then 0.05 else 0.01 end) as lo, quantile_cont(n_dp, case when source = 'genome' then 0.95 else 0.99 end) as hi from snp group by 1, 2),
- tg as (select chr, min(start) - 300 as start, max("end") + 300 as "end" from (select event_type as chr, h * 3600 + 1 as start, h * 3600 + 3600 as "end", h from (select distinct event_type, (cast(floor(extract(epoch from ts)) as bigint) - 1704067200) // 3600 as h from events) where h % 4 <> 0) group by chr, start, "end"),
- z as (select s.*, lo, hi, mask_strict or mask_difficult as st, s.source = 'genome' as g, exists (select 1 from tg where tg.chr = s.chr and s.pos between tg.start and tg."end") as ont from snp s join q on q.id = s.id and q.source = s.source)
+ tg as (select id, chr, min(start) - 300 as start, max("end") + 300 as "end" from (select id, event_type as chr, h * 3600 + 1 as start, h * 3600 + 3600 as "end", h from (select distinct cast(user_id as varchar) as id, event_type, (cast(floor(extract(epoch from ts)) as bigint) - 1704067200) // 3600 as h from events) where h % 4 <> 0) group by id, chr, start, "end"),
+ z as (select s.*, lo, hi, mask_strict or mask_difficult as st, s.source = 'genome' as g, exists (select 1 from tg where tg.id = s.id and tg.chr = s.chr and s.pos between tg.start and tg."end") as ont from snp s join q on q.id = s.id and q.source = s.source)
 select event_id, coalesce(n_gt = '0/1' and n_dp > case when g then 12 else 24 end and n_dp > lo and n_dp < hi and n_dp > case when g then 24 else 48 end and population_af > case when g then 0.025 else 0.01 end and population_af < case when g then 0.975 else 0.99 end
   and ((not st and not mask_loose and n_af > case when g then 0.36 else 0.40 end - 0.2 and n_af < case when g then 0.64 else 0.60 end + 0.2) or (st and not mask_loose and n_af > case when g then 0.36 else 0.40 end - 0.2 + 0.03 and n_af < case when g then 0.64 else 0.60 end + 0.2 - 0.03)
    or (st and mask_loose and n_af > case when g then 0.36 else 0.40 end - 0.2 + 0.06 and n_af < case when g then 0.64 else 0.60 end + 0.2 - 0.06)) and (g or ont), false) as pass from z""".replace("quantile_cont(n_dp, case when source = 'genome' then 0.05 else 0.01 end)", "case when source = 'genome' then quantile_cont(n_dp, 0.05) else quantile_cont(n_dp, 0.01) end").replace("quantile_cont(n_dp, case when source = 'genome' then 0.95 else 0.99 end)", "case when source = 'genome' then quantile_cont(n_dp, 0.95) else quantile_cont(n_dp, 0.99) end"), ("point",))

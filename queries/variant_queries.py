@@ -424,14 +424,20 @@ def _(d):
 
 
 @query("phased_merge", """
-with v as (select distinct id, chr, pid, cast(pos as bigint) as pos, 'A' as ref, 'G' as alt from variant where length(ref) = 1),
- ph as (select *, case when pos > lag(pos) over w + 401 or lag(pos) over w is null then 1 else 0 end as op from v where pid is not null window w as (partition by id, chr, pid order by pos)),
- cl as (select *, sum(op) over (partition by id, chr, pid order by pos) as c from ph),
- m as (select id, chr, pid, min(pos) as pos, string_agg(ref, '' order by pos) as ref, string_agg(alt, '' order by pos) as alt from cl group by id, chr, pid, c)
-select id, pid, pos, concat(chr, ':', pos, '_', ref, '/', alt) as var_id from m union all select id, pid, pos, concat(chr, ':', pos, '_', ref, '/', alt) from v where pid is null""", ("variant",))
-def _(d):
-    v = d.variant.filter("length(ref) = 1").select("id", "chr", "pid", "pos", F.lit("A").alias("ref"), F.lit("G").alias("alt")).distinct()
-    return V.merge_phased(v, None, 400).select("id", "pid", "pos", "var_id")
+with v as (select distinct id, chr, pid, cast(pos as bigint) as pos, ref, alt, gene_id, dpt from variant),
+ ph as (select *, pos + length(ref) - 1 as e from v where pid is not null), st as (select id, chr, pid, pos, max(e) as e from ph group by all),
+ op as (select *, case when pos > max(e) over (partition by id, chr, pid order by pos rows between unbounded preceding and 1 preceding) + 31 then 1 else 0 end as o from st),
+ cl as (select id, chr, pid, pos, sum(o) over (partition by id, chr, pid order by pos) as c from op), j as (select ph.*, c, count(*) over w as n, min(pos) over w as p0, max(e) over w as p1 from ph join cl using (id, chr, pid, pos) window w as (partition by id, chr, pid, c)),
+ gap as (select g.* from (select id, chr, pid, c, unnest(range(p0, p1 + 1)) as pos from (select distinct id, chr, pid, c, p0, p1 from j where n > 1)) g where not exists (select 1 from j where j.id = g.id and j.chr = g.chr and j.pid = g.pid and j.c = g.c and g.pos between j.pos and j.e)),
+ part as (select id, chr, pid, c, pos, e, ref, alt, gene_id, dpt from j where n > 1 union all select id, chr, pid, c, pos, pos, substr('ACGT', cast(pos % 4 + 1 as int), 1), substr('ACGT', cast(pos % 4 + 1 as int), 1), null, null from gap),
+ m as (select id, chr, pid, min(pos) as pos, string_agg(ref, '' order by pos, e, ref, alt) as ref, string_agg(alt, '' order by pos, e, ref, alt) as alt,
+   min({'p': pos, 'e': e, 'r': ref, 'a': alt, 'g': gene_id, 'd': dpt}) filter (gene_id is not null) as f from part group by id, chr, pid, c)
+select id, pid, pos, ref, alt, f.g as gene_id, f.d as dpt, concat(chr, ':', pos, '_', ref, '/', alt) as var_id from m
+union all select id, pid, pos, ref, alt, gene_id, dpt, concat(chr, ':', pos, '_', ref, '/', alt) from v where pid is null union all select id, pid, pos, ref, alt, gene_id, dpt, concat(chr, ':', pos, '_', ref, '/', alt) from j where n = 1""", ("variant",))
+def _(d):
+    v = d.variant.select("id", "chr", "pid", "pos", "ref", "alt", "gene_id", "dpt").distinct()
+    near = v.filter("pid is not null").select("chr", F.explode(F.sequence(F.col("pos"), F.col("pos") + 40)).alias("pos")).distinct()
+    return V.merge_phased(v, near.withColumn("base", F.substring(F.lit("ACGT"), (F.col("pos") % 4 + 1).cast("int"), F.lit(1))), 30).select("id", "pid", "pos", "ref", "alt", "gene_id", "dpt", "var_id")
 
 
 @query("substitution_classes", r"""

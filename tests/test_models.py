@@ -133,6 +133,12 @@ def test_bias_correction_removes_a_trend(spark):
     assert out.std() < 0.03 and abs(out.mean()) < 0.01
 
 
+def test_bias_correction_keeps_values_without_a_trend_of_their_own(spark):
+    t = spark.createDataFrame([("s", "chr1", i, i, True, i < 50, 0.3 + i / 400, 1.0) for i in range(60)] + [("s", "chr1", 99, 99, False, True, 0.5, 3.0), ("n", "chr1", 1, 1, True, False, 0.4, 2.0)], "id string, chr string, start int, end int, target boolean, hq boolean, gc double, lr double")
+    got = {(r["id"], r["start"]): r["lr"] for r in T.correct_bias(t, "lr").collect()}
+    assert all(abs(got[("s", i)]) < 1e-9 for i in range(60)) and got[("s", 99)] == 3.0 and got[("n", 1)] == 2.0
+
+
 def test_fisher_known_values(spark):
     df = spark.createDataFrame([(3, 1, 1, 3), (10, 0, 0, 10), (0, 5, 0, 5), (None, 1, 1, 1)], "a int, b int, c int, d int")
     got = [r[0] for r in df.select(M.fisher_exact("a", "b", "c", "d")).collect()]
@@ -150,6 +156,8 @@ def test_text_functions(spark):
 def test_phased_merge_with_reference_bases(spark):
     v = spark.createDataFrame([("s", "chr1", "p", 10, "A", "T"), ("s", "chr1", "p", 12, "C", "G"), ("s", "chr1", "p", 40, "C", "G"), ("s", "chr1", None, 11, "G", "C")], "id string, chr string, pid string, pos long, ref string, alt string")
     bases = spark.createDataFrame([("chr1", i, "N") for i in range(1, 50)], "chr string, pos long, base string")
+    full = V.merge_phased(v.withColumn("depth", F.col("pos") * 10), bases, 1)
+    assert rows(full, "pos", "depth") == [(10, 100), (11, 110), (40, 400)]
     assert rows(V.merge_phased(v, bases, 1), "var_id") == [("chr1:10_ANC/TNG",), ("chr1:11_G/C",), ("chr1:40_C/G",)]
 
 
