@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortloom.functions.text import short_protein
@@ -33,38 +34,45 @@ def event_genes(table: str, df: DataFrame, structural_pattern: str = "^ENSG") ->
 
 def gene_hits(
     ids: DataFrame, genes: DataFrame, tables: Mapping[str, DataFrame],
-    count: Sequence[str] = ("somatic", "germline", "structural", "gene_copy"), dense: bool = True, structural_pattern: str = "^ENSG",
+    count: Sequence[str] = ("somatic", "germline", "structural", "gene_copy"), dense: bool = False, structural_pattern: str = "^ENSG",
 ) -> DataFrame:
     """Hits per (sample, gene): copy loss 0/1/2, mutations 0/1/2 (2 = several), fusion 0/1, and their sum.
 
-    NULL marks a sample without any row in that table.  All tables are stacked and aggregated once;
-    ``dense`` adds the cells without any event, otherwise only touched (sample, gene) pairs come out.
+    NULL marks a sample without any row in that table.  All tables are stacked and aggregated once,
+    rows without a countable gene under a NULL gene, so each table is read once; the samples' tables
+    then follow from the cells of one sample, which are no more than its genes.  Only touched
+    (sample, gene) pairs come out; ``dense`` adds the other cells, for panels of few genes.
     """
-    parts, seen = [], []
+    parts = []
     for name, df in tables.items():
+        kind = F.lit(name).alias("kind")
         if name == "gene_copy":
             level = F.when(F.col("Cmin") == 0, 2).when(F.col("Kmin") == 0, 1)
-            parts.append(df.select("id", "gene_id", F.lit(name).alias("kind"), level.alias("level")).filter(F.col("level").isNotNull()))
+            parts.append(df.select("id", F.when(level.isNotNull(), F.col("gene_id")).alias("gene_id"), kind, level.alias("level")))
+        elif name == "structural":
+            sides = F.array(*[F.when(F.col(f"gene_id_{n}").rlike(structural_pattern), F.col(f"gene_id_{n}")) for n in "12"])
+            parts.append(df.select("id", F.explode(sides).alias("gene_id"), kind, F.lit(1).alias("level")))
         else:
-            parts.append(event_genes(name, df, structural_pattern).select("id", "gene_id", F.lit(name).alias("kind"), F.lit(1).alias("level")))
-        if name != "fusion":
-            seen.append(df.select("id", F.lit(name).alias("kind")))
+            parts.append(event_genes(name, df, structural_pattern).select("id", "gene_id", kind, F.lit(1).alias("level")))
     one = lambda k: F.col("kind") == k
     n = lambda k: F.count(F.when(one(k), 1))
     cells = {
         k: (F.max(F.when(one(k), F.col("level"))) if k == "gene_copy" else F.when(n(k) > 0, F.lit(1)) if k == "fusion" else F.when(n(k) > 0, F.least(n(k), F.lit(2))))
         for k in tables
     }
-    touched = _union(parts).groupBy("id", "gene_id").agg(*[c.cast("int").alias(k) for k, c in cells.items()])
-    present = _union(seen).groupBy("id").agg(*[F.max(F.when(one(k), 0)).alias(f"__has_{k}") for k in tables if k != "fusion"])
+    plain = [k for k in tables if k != "fusion"]
+    touched = _union(parts).groupBy("id", "gene_id").agg(*[c.cast("int").alias(k) for k, c in cells.items()], *[F.max(F.when(one(k), 0)).alias(f"__has_{k}") for k in plain])
     wanted = genes.select("gene_id", "gene_name").distinct()
+    has = [f"__has_{k}" for k in plain]
     if dense:
-        base = grid(ids.select("id").distinct(), wanted).join(touched, ["id", "gene_id"], "left")
+        present = touched.groupBy("id").agg(*[F.max(h).alias(h) for h in has])
+        base = grid(ids.select("id").distinct(), wanted).join(touched.drop(*has), ["id", "gene_id"], "left").join(present, "id", "left")
     else:
-        base = touched.join(wanted, "gene_id").join(ids.select("id"), "id", "left_semi")
-    out = base.join(present, "id", "left")
+        of_sample = Window.partitionBy("id")
+        base = touched.withColumns({h: F.max(h).over(of_sample) for h in has}).filter(reduce(lambda a, b: a | b, [F.col(k).isNotNull() for k in tables]))
+        base = base.join(wanted, "gene_id").join(ids.select("id"), "id", "left_semi")
     value = {k: F.coalesce(F.col(k), F.lit(0) if k == "fusion" else F.col(f"__has_{k}")) for k in tables}
-    out = out.select("id", "gene_id", "gene_name", *[c.alias(k) for k, c in value.items()])
+    out = base.select("id", "gene_id", "gene_name", *[c.alias(k) for k, c in value.items()])
     total = F.lit(0)
     for k in count:
         if k in tables:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortloom.operators.common import first_row, grid, join_stats, later_wins, runs, scan, with_group
@@ -21,8 +21,6 @@ def weighted_median(df: DataFrame, keys: Sequence[str], value: str, weight: str,
     Weights are first added up per distinct value (a partial aggregate), so the ordered step sees
     distinct values only.  When half the weight is reached exactly between two values, their mean.
     """
-    from pyspark.sql import Window
-
     w = df.filter(F.col(value).isNotNull() & (F.col(weight) > 0)).groupBy(*keys, F.col(value).alias("__x")).agg(F.sum(weight).alias("__w"))
     by = Window.partitionBy(*keys)
     run = by.orderBy("__x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -151,25 +149,33 @@ def label_gene_copies(gene_copy: DataFrame, segments: DataFrame, seg_map: DataFr
 
 def call_arms(segments: DataFrame, arms: DataFrame, meta: DataFrame) -> DataFrame:
     """Gain / loss / none of each autosomal arm: the label holding at least half of its covered length."""
-    auto = arms.filter(~F.col("arm").rlike("X|Y"))
-    wm = weighted_median(segments, ["id"], "C", "width", "wm")
-    mode = modal_value(segments, ["id"], "C", "c_mode")
-    stats = wm.join(mode, "id").join(meta.select("id", "ploidy"), "id", "left")
-    hit = overlap_join(auto.select("chr", "start", "end", "arm"), segments.select("id", "chr", "start", "end", "C"))
+    auto = arms.filter(~F.col("arm").rlike("X|Y")).select("chr", "start", "end", "arm")
+    # One table of lengths and counts per copy number gives the weighted median and the mode of a sample.
+    long = F.when(F.col("width") > 0, F.col("width"))
+    per_c = segments.filter(F.col("C").isNotNull()).groupBy("id", "C").agg(F.coalesce(F.sum(long), F.lit(0)).alias("__w"), F.count(F.lit(1)).alias("__n"))
+    of = Window.partitionBy("id")
+    per_c = per_c.withColumn("__half", F.sum("__w").over(of) / 2).withColumn("__c", F.sum("__w").over(of.orderBy("C").rowsBetween(Window.unboundedPreceding, Window.currentRow))).withColumn("__top", F.max("__n").over(of))
+    heavy = F.col("__w") > 0
+    low, high = F.min(F.when(heavy & (F.col("__c") >= F.col("__half")), F.col("C"))), F.min(F.when(heavy & (F.col("__c") > F.col("__half")), F.col("C")))
+    stats = per_c.groupBy("id").agg(((low + high) / 2).alias("wm"), F.avg(F.when(F.col("__n") == F.col("__top"), F.col("C"))).alias("c_mode")).filter(F.col("wm").isNotNull())
+    stats = stats.join(meta.select("id", "ploidy"), "id", "left")
+    # Two arms per chromosome: the chromosome is the key and the range a test.
+    s = segments.select("id", "chr", F.col("start").alias("s_start"), F.col("end").alias("s_end"), F.col("C").alias("raw"))
+    hit = s.join(auto, "chr").filter((F.col("start") <= F.col("s_end")) & (F.col("s_start") <= F.col("end")))
     n = F.least("end", "s_end") - F.greatest("start", "s_start")
-    c = F.coalesce(F.col("s_C"), F.lit(-1.0))
-    seg = hit.select(F.col("s_id").alias("id"), "arm", n.alias("n"), c.alias("c"), F.col("s_C").alias("raw")).join(stats, "id")
+    seg = hit.select("id", "arm", "chr", "start", "end", n.alias("n"), F.coalesce(F.col("raw"), F.lit(-1.0)).alias("c"), "raw").join(stats, "id")
     up = (F.col("c") > F.col("wm")) & (F.col("c") > F.col("c_mode")) & (F.col("c") > F.col("ploidy") + 0.5) & (F.col("c") > 2)
     down = (F.col("c") < F.col("wm")) & (F.col("c") < F.col("c_mode")) & (F.col("c") < F.col("ploidy") - 0.5) & (F.col("c") < 4)
     seg = seg.withColumn("label", later_wins([(up, F.lit("gain")), (down, F.lit("loss"))], F.lit("none")))
-    # Arms whose segments all lack C are not called.
-    per = seg.groupBy("id", "arm", "label", "wm", "ploidy").agg(F.sum("n").alias("len"), F.count("raw").alias("known"))
-    tot = with_group(per, ["id", "arm"], {"__t": F.sum("len"), "__k": F.sum("known")}).filter(F.col("__k") > 0)
+    # Arms whose segments all lack C are not called.  An arm has three labels at most.
+    per = seg.groupBy("id", "arm", "chr", "start", "end", "label", "wm", "ploidy").agg(F.sum("n").alias("len"), F.count("raw").alias("known"))
+    arm = Window.partitionBy("id", "arm")
+    tot = per.withColumn("__t", F.sum("len").over(arm)).withColumn("__k", F.sum("known").over(arm)).filter(F.col("__k") > 0)
     best = first_row(tot, ["id", "arm"], [F.col("len").desc(), F.col("label").asc()])
     # Binary rounding (0.575 is below its decimal text), as the threshold below is on the rounded share.
     share = F.floor(F.col("len") / F.nullif(F.col("__t").cast("double"), F.lit(0.0)) * 100 + 0.5) / 100
     called = best.withColumn("proportion", share).withColumn("annotation", F.when(share < 0.5, "none").otherwise(F.col("label")))
-    return called.join(auto.select("arm", "chr", "start", "end"), "arm").select("id", "arm", "annotation", "chr", "start", "end", "wm", "ploidy", "proportion")
+    return called.select("id", "arm", "annotation", "chr", "start", "end", "wm", "ploidy", "proportion")
 
 
 def call_chromosomes(arm_calls: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from cohortloom.dataset import CohortDataset
 from cohortloom.operators import rulesets as R
-from cohortloom.operators.common import join_stats, with_group
+from cohortloom.operators.common import join_stats
 
 Rule = Callable[[], Column]
 RULE_ORDER = {
@@ -175,8 +175,9 @@ def fusion_known(fusion: DataFrame, anno: DataFrame, key=("id", "var_id")) -> Da
 def _phase(df: DataFrame) -> DataFrame:
     """Rows sharing sample, gene and phase set with another row."""
     keys = ["id", "gene_id", "pid"]
-    out = with_group(df, keys, {"__n": F.count(F.lit(1))})
-    return out.withColumn("__phase_repeat", F.col("pid").isNotNull() & (F.col("__n") > 1)).drop("__n")
+    # Only rows with a phase set are counted, so the joined side holds the few repeated sets.
+    repeated = df.filter(F.col("pid").isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > 1)
+    return join_stats(df, repeated, keys).withColumn("__phase_repeat", F.col("__n").isNotNull()).drop("__n")
 
 
 #: fixed values: impact classes from weak to strong.

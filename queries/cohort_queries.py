@@ -17,17 +17,17 @@ ENG = "coalesce(gene_name_1, '')"
 
 # ---------------------------------------------------------------- hits (flagship)
 
-_PANEL = "select gene_id, gene_name from gene where somatic_goi and not somatic_art and cast(substr(gene_id, 2) as int) % 8 = 1"
+_PANEL = "select gene_id, gene_name from gene where somatic_goi and not somatic_art"
 _COPY = "gc as (select id, gene_id, min(K) as kmin, min(C) as cmin from (select s.id, g.gene_id, case when s.C <= 1 then 0.0 else s.K end as K, s.C from gene g join segment s on s.chr = g.chr and s.start <= g.\"end\" and s.\"end\" >= g.start) group by 1, 2)"
 
 
 @query("gene_hits", f"""with {TEXT_SQL}, {_COPY}, panel as ({_PANEL}),
  pass as (select id, gene_id from somt where not regexp_matches(triage, 'consequence|evidence|artifact')),
- sv as (select id, gene_id_1 as gene_id from structural where caller_filter is not null and gene_id_1 like 'G1%' union all select id, gene_id_2 from structural where caller_filter is not null and gene_id_2 like 'G1%'),
+ sv as (select id, gene_id_1 as gene_id from structural where caller_filter is not null and gene_id_1 is not null union all select id, gene_id_2 from structural where caller_filter is not null and gene_id_2 is not null),
  svid as (select distinct id from structural where caller_filter is not null),
  sc as (select id, gene_id, least(count(*), 2) as n from pass group by 1, 2), vc as (select id, gene_id, least(count(*), 2) as n from sv group by 1, 2),
  cl as (select id, gene_id, case when cmin = 0 then 2 when kmin = 0 then 1 else 0 end as n from gc),
- cells as (select m.id, p.gene_id, p.gene_name from meta m cross join panel p),
+ cells as (select distinct x.id, p.gene_id, p.gene_name from (select id, gene_id from sc union all select id, gene_id from vc union all select id, gene_id from cl where n > 0) x join panel p on p.gene_id = x.gene_id where x.id in (select id from meta)),
  r as (select c.*, case when sid.id is null then null else coalesce(sc.n, 0) end as somatic, case when vid.id is null then null else coalesce(vc.n, 0) end as structural,
    case when gid.id is null then null else coalesce(cl.n, 0) end as gene_copy
   from cells c left join sc on sc.id = c.id and sc.gene_id = c.gene_id left join vc on vc.id = c.id and vc.gene_id = c.gene_id left join cl on cl.id = c.id and cl.gene_id = c.gene_id
@@ -38,8 +38,8 @@ def _(d):
     som = T.triage_table(_variants(d), "somatic", d.gene).filter(T.not_failed("consequence|evidence|artifact"))
     sv = d.structural.filter("caller_filter is not null")
     gc = N.gene_copies(d.segment, d.gene, keep_all=False)
-    panel = d.gene.filter("somatic_goi and not somatic_art and cast(substr(gene_id, 2) as int) % 8 = 1")
-    return C.gene_hits(d.meta, panel, {"somatic": som, "structural": sv, "gene_copy": gc}, structural_pattern="^G1")
+    panel = d.gene.filter("somatic_goi and not somatic_art")
+    return C.gene_hits(d.meta, panel, {"somatic": som, "structural": sv, "gene_copy": gc}, structural_pattern="^G")
 
 
 @query("gene_hits_sparse", f"""with {_COPY}, v as (select id, gene_id, least(count(*), 2) as n from variant group by 1, 2), l as (select id, gene_id, case when cmin = 0 then 2 when kmin = 0 then 1 end as n from gc),
@@ -47,7 +47,7 @@ def _(d):
 select u.id, u.gene_id, g.gene_name, cast(coalesce(vn, 0) as int) as somatic, cast(coalesce(ln, case when u.id in (select id from gc) then 0 end) as int) as gene_copy,
  cast(coalesce(vn, 0) + coalesce(ln, 0) as int) as hits from u join gene g on g.gene_id = u.gene_id where u.id in (select id from meta)""", ("variant", "gene", "segment", "meta"))
 def _(d):
-    return C.gene_hits(d.meta, d.gene, {"somatic": d.variant, "gene_copy": N.gene_copies(d.segment, d.gene, keep_all=False)}, dense=False)
+    return C.gene_hits(d.meta, d.gene, {"somatic": d.variant, "gene_copy": N.gene_copies(d.segment, d.gene, keep_all=False)})
 
 
 # ---------------------------------------------------------------- expression
@@ -428,12 +428,12 @@ def _(d):
 
 
 @query("repair_loh", """
-with a as (select id, start, chr, C, nC, naf, case when nC in (0, 1) or C in (0, 1) then 0.0 else K end as K from segment where chr <> 'chr7'), w as (select *, lag(C) over o as pc, lag(K) over o as pk, lead(C) over o as nc2, lead(K) over o as nk, lag(start) over o as ps, lead(start) over o as ns from a window o as (partition by id, chr order by start)),
+with a as (select id, start, chr, C, nC, naf, case when nC in (0, 1) or C in (0, 1) then 0.0 else K end as K from segment), w as (select *, lag(C) over o as pc, lag(K) over o as pk, lead(C) over o as nc2, lead(K) over o as nk, lag(start) over o as ps, lead(start) over o as ns from a window o as (partition by id, chr order by start)),
  n as (select *, case when C = pc and C = nc2 and pk <= nk then pk when C = pc and C = nc2 and pk > nk then nk when C = pc and C <> nc2 then pk when C <> pc and C = nc2 then nk end as new from w),
  r as (select *, case when coalesce(naf, 0) < 5 and K = 0 then new else K end as k2 from n)
 select id, chr, start, case when nC in (0, 1) or C in (0, 1) then 0.0 else k2 end as "K" from r""", ("segment",))
 def _(d):
-    return N.repair_loh(d.segment.filter("chr <> 'chr7'"), ("id", "chr"), "start").select("id", "chr", "start", "K")
+    return N.repair_loh(d.segment, ("id", "chr"), "start").select("id", "chr", "start", "K")
 
 
 @query("segment_summary", """select id, arm as seg, count(*) as ntot, cast(sum(naf) as bigint) as naf, round(avg(lr), 6) as lr_mean, round(median(case when hq then lr end), 6) as lr_median, round(stddev_samp(case when hq then lr end), 6) as lr_sd, round(sum(case when hq then 1 else 0 end) / count(*), 6) as hq

@@ -70,11 +70,11 @@ def _(d):
     return C.viewer_filter(v, impact=True, two_hit=d.gene.filter("somatic_art")).select("id", "var_id", "gene_id")
 
 
-@query("dictionary_projection", """select gene_name as "Gene", aft as "AF", var_id as "ID" from variant where adt = 1""", ("variant",))
+@query("dictionary_projection", """select gene_name as "Gene", aft as "AF", var_id as "ID" from variant""", ("variant",))
 def _(d):
     rows = [{"table": "somatic", "db_name": a, "display_name": b, "show_table": c, "show_detail": True} for a, b, c in
             [("gene_name", "Gene", True), ("aft", "AF", True), ("var_id", "ID", True), ("chr", "Chr", False)]]
-    return C.select_by_dictionary(d.variant.filter("adt = 1"), rows, "somatic")
+    return C.select_by_dictionary(d.variant, rows, "somatic")
 
 
 @query("annotate_fusions", """with f as (select id, gene_id_1 g1, gene_id_2 g2, case when gene_id_1 is null and gene_id_2 is not null then chr1 else coalesce(gene_id_1, '') end as a, case when gene_id_2 is null and gene_id_1 is not null then chr2 else coalesce(gene_id_2, '') end as b, case when gene_id_1 is not null and gene_id_2 is not null then 'fusion5' when gene_id_1 is not null then 'truncation' end as c5, case when gene_id_1 is not null and gene_id_2 is not null then 'fusion3' when gene_id_2 is not null then 'start-loss' end as c3 from structural)
@@ -119,9 +119,9 @@ def _(d):
     return GM.coding_bounds(cds, ex).select("transcript_id", "cds1", "cdsn")
 
 
-@query("transcript_sequences", """select 'd' || (doc_id // 10) as transcript_id, string_agg(left(text, 20), '' order by doc_id) as seq from documents group by 1""")
+@query("transcript_sequences", """select 'd' || (doc_id // 10) as transcript_id, string_agg(text, '' order by doc_id) as seq from documents group by 1""")
 def _(d):
-    ex = d.documents.select(F.concat(F.lit("d"), F.floor(F.col("doc_id") / 10).cast("string")).alias("transcript_id"), F.col("doc_id").alias("start"), F.lit("+").alias("strand"), F.substring("text", 1, 20).alias("seq"))
+    ex = d.documents.select(F.concat(F.lit("d"), F.floor(F.col("doc_id") / 10).cast("string")).alias("transcript_id"), F.col("doc_id").alias("start"), F.lit("+").alias("strand"), F.col("text").alias("seq"))
     return GM.transcript_sequences(ex)
 
 
@@ -136,13 +136,13 @@ def _(d):
     return FU.transcript_distance(b, _exons(d)).select("type", "pos_5", "pos_3", "tx_dst", "gx_dst", "bp_dst")
 
 
-@query("locus_splices", """with l as (select 'chr' || (p_partkey % 7 + 1) as chr, cast(p_partkey // 10 * 100000 as bigint) as start, cast(p_partkey // 10 * 100000 + 50000 as bigint) as "end", 'L' || (p_partkey // 10) || '_' || (p_partkey % 7) as locus_id from part where p_partkey % 10 = 0),
+@query("locus_splices", """with l as (select 'chr' || (p_partkey % 7 + 1) as chr, cast(p_partkey // 10 * 100000 as bigint) as start, cast(p_partkey // 10 * 100000 + 50000 as bigint) as "end", 'L' || (p_partkey // 10) || '_' || (p_partkey % 7) as locus_id from part group by all),
  j as (select cast(l_suppkey % 5 as varchar) as sid, 'chr' || l_linenumber as chr, l_orderkey * 1000 as start, l_orderkey * 1000 + l_partkey as "end", cast(l_quantity as int) as n from lineitem),
  a as (select sid, locus_id, count(*) as nsj, sum(n) as f from j join l on l.chr = j.chr and l.start <= j."end" and l."end" >= j.start group by 1, 2), g as (select s.sid, l.locus_id, coalesce(a.nsj, 0) as nsj, coalesce(a.f, 0) as f from (select distinct sid from j) s cross join l left join a on a.sid = s.sid and a.locus_id = l.locus_id)
 select sid, locus_id, nsj, round(f / (sum(f) over (partition by sid) / 1e6), 4) as cspm from g""")
 def _(d):
     k = F.floor(F.col("p_partkey") / 10)
-    l = d.part.filter("p_partkey % 10 = 0").select(F.concat(F.lit("chr"), (F.col("p_partkey") % 7 + 1).cast("string")).alias("chr"), (k * 100000).alias("start"), (k * 100000 + 50000).alias("end"), F.lit("*").alias("strand"), F.concat(F.lit("L"), k.cast("string"), F.lit("_"), (F.col("p_partkey") % 7).cast("string")).alias("locus_id"))
+    l = d.part.select(F.concat(F.lit("chr"), (F.col("p_partkey") % 7 + 1).cast("string")).alias("chr"), (k * 100000).alias("start"), (k * 100000 + 50000).alias("end"), F.lit("*").alias("strand"), F.concat(F.lit("L"), k.cast("string"), F.lit("_"), (F.col("p_partkey") % 7).cast("string")).alias("locus_id")).distinct()
     j = d.lineitem.select((F.col("l_suppkey") % 5).cast("string").alias("sid"), F.concat(F.lit("chr"), F.col("l_linenumber").cast("string")).alias("chr"), (F.col("l_orderkey") * 1000).alias("start"), (F.col("l_orderkey") * 1000 + F.col("l_partkey")).alias("end"), F.lit("+").alias("strand"), F.col("l_quantity").cast("int").alias("nfrag"))
     return GM.locus_splices(j, l).select("sid", "locus_id", "nsj", R("cspm", 4))
 

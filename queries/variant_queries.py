@@ -79,9 +79,9 @@ def _(d):
 
 
 @query("variant_representation", """select var_id, chr, pos, ref, alt, aft, gene_id, transcript as transcript_id, hgvsp, consequence, clinvar
-from variant where adt > 45""", ("variant",))
+from variant""", ("variant",))
 def _(d):
-    return V.represent_variants(d.variant.filter("adt > 45")).select(
+    return V.represent_variants(d.variant).select(
         "var_id", "chr", "pos", "ref", "alt", "aft", "gene_id", "transcript_id", "hgvsp", "consequence", "clinvar")
 
 
@@ -168,10 +168,10 @@ def _(d):
 
 
 @query("triage_structural", """
-select id, var_id, not (coalesce(gene_id_1 in (select gene_id from gene where gene_id like 'G1%'), false)
-   or coalesce(gene_id_2 in (select gene_id from gene where gene_id like 'G1%'), false)) as annotation, caller_filter is null as evidence from structural""", ("structural", "gene"))
+select id, var_id, not (coalesce(gene_id_1 in (select gene_id from gene), false)
+   or coalesce(gene_id_2 in (select gene_id from gene), false)) as annotation, caller_filter is null as evidence from structural""", ("structural", "gene"))
 def _(d):
-    return T.triage_flags(d.structural, "structural", d.gene.filter("gene_id like 'G1%'")).drop("custom")
+    return T.triage_flags(d.structural, "structural", d.gene).drop("custom")
 
 
 _FUSION = """ {src} as (select min(o_custkey) as ck, l_orderkey as var_id,

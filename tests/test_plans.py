@@ -28,7 +28,7 @@ def test_annotate_whole_cohort(spark):
     cin = out["cin"].collect()[0]
     assert abs(cin["gii"] - 200 / 700) < 1e-9 and abs(cin["loh_portion"] - 100 / 700) < 1e-9 and cin["arm_total"] == 2 and cin["fg"] == 1
     assert subset_annotation(out, ["none"])["arms"].count() == 0
-    hits = C.gene_hits(ds.ids(), genes, {"somatic": ds.table("somatic"), "gene_copy": ds.table("gene_copy")})
+    hits = C.gene_hits(ds.ids(), genes, {"somatic": ds.table("somatic"), "gene_copy": ds.table("gene_copy")}, dense=True)
     assert dict(rows(hits, "gene_id", "hits")) == {"G1": 2, "G2": 0}
 
 
