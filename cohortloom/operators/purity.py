@@ -9,17 +9,22 @@ from cohortloom.functions.numeric import beta_log_kernel, cancer_cell_fraction,
 from cohortloom.operators.common import first_row, join_stats, with_group
 from cohortloom.operators.copynumber import SEX_CHROMOSOMES
 from cohortloom.operators.intervals import first_overlap, nearest
+from cohortloom.session import cut_lineage
 
 MAX_DEPTH = 300  # fixed value: effective depth of the allele-fraction model
 
 
-def variants_on_segments(variants: DataFrame, segments: DataFrame, meta: DataFrame, keep_all: bool = True) -> DataFrame:
-    """Variants with the segment of the same sample they lie on, and purity and ploidy."""
-    fields = ["C", "K", "lr", "nlr", "sC", "nC", "seg"]
+def segment_of_sites(variants: DataFrame, segments: DataFrame) -> DataFrame:
+    """The segment of the same sample at each distinct variant position."""
+    fields = [f for f in ("C", "K", "lr", "nlr", "sC", "nC", "seg") if f in segments.columns]
     site = variants.select("id", "chr", "pos").distinct()
-    s = segments.select("id", "chr", "start", "end", *[f for f in fields if f in segments.columns])
-    hit = first_overlap(site, s, ["id", "chr", "pos"], ["start"], keys=("id", "chr"), q=("pos", "pos"))
-    hit = hit.select("id", "chr", "pos", *[F.col(f"s_{f}").alias(f) for f in fields if f in segments.columns])
+    hit = first_overlap(site, segments.select("id", "chr", "start", "end", *fields), ["id", "chr", "pos"], ["start"], keys=("id", "chr"), q=("pos", "pos"))
+    return hit.select("id", "chr", "pos", *[F.col(f"s_{f}").alias(f) for f in fields])
+
+
+def variants_on_segments(variants: DataFrame, segments: DataFrame, meta: DataFrame, keep_all: bool = True, sites: DataFrame | None = None) -> DataFrame:
+    """Variants with the segment of the same sample they lie on, and purity and ploidy."""
+    hit = segment_of_sites(variants, segments) if sites is None else sites
     out = variants.join(hit, ["id", "chr", "pos"], "left" if keep_all else "inner")
     return out.join(meta.select("id", "purity", "ploidy"), "id", "left")
 
@@ -31,8 +36,10 @@ def cell_fractions(variants: DataFrame, segments: DataFrame, meta: DataFrame, ma
     one, and the expected fraction grows with m.  So the best whole m in 1..C is one of the two
     neighbours of the peak; no grid of copies is built.
     """
-    v = variants_on_segments(variants.drop("m", "ccf"), segments, meta)
-    male = v.groupBy("id").agg(F.coalesce(F.bool_or(F.col("nC") == 1), F.lit(False)).alias("__male"))
+    # The positions' segments are stored once: the variants and the samples' sex both come from them.
+    sites = cut_lineage(segment_of_sites(variants, segments))
+    v = variants_on_segments(variants.drop("m", "ccf"), segments, meta, sites=sites)
+    male = sites.groupBy("id").agg(F.coalesce(F.bool_or(F.col("nC") == 1), F.lit(False)).alias("__male"))
     v = v.join(male, "id", "left")
     sex_copies = F.when(F.col("chr").isin(SEX_CHROMOSOMES) & F.col("__male"), 1.0).otherwise(2.0)
     p, c = F.col("purity"), F.col("C")
@@ -58,7 +65,7 @@ def quick_cell_fractions(variants: DataFrame, segments: DataFrame, meta: DataFra
     """Closed form: u = (reads/depth)/purity * (purity C + (1-purity) nC), m = max(1, round(u)), ccf = u/m."""
     v = variants_on_segments(variants.drop("m", "ccf"), segments, meta)
     u = (F.col("adt") / F.col("dpt")) / F.col("purity") * (F.col("purity") * F.col("C") + (1 - F.col("purity")) * F.col("nC"))
-    return v.withColumn("__u", u).withColumn("m", F.greatest(F.lit(1.0), F.round("__u"))).withColumn("ccf", F.col("__u") / F.col("m")).drop("__u")
+    return v.withColumn("__u", u).withColumn("m", F.when(F.col("__u").isNotNull(), F.greatest(F.lit(1.0), F.round("__u")))).withColumn("ccf", F.col("__u") / F.col("m")).drop("__u")
 
 
 def variants_near_segments(variants: DataFrame, segments: DataFrame, meta: DataFrame) -> DataFrame:

@@ -11,6 +11,9 @@ import re
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -257,10 +260,12 @@ def filter_dataset(ds: CohortDataset, rules: Mapping[str, str] | None = None) ->
 
 def unknown_events(ds: CohortDataset, decisions: DataFrame) -> DataFrame:
     """Decisions whose (id, var_id) is in none of the event tables."""
-    known = None
-    for t in RULE_ORDER:
-        part = ds.table(t).select("id", "var_id")
-        known = part if known is None else known.unionByName(part)
+    return absent_events([ds.table(t) for t in RULE_ORDER], decisions)
+
+
+def absent_events(tables: Sequence[DataFrame], decisions: DataFrame) -> DataFrame:
+    """Rows whose (id, var_id) is in none of the tables."""
+    known = reduce(DataFrame.unionByName, [t.select("id", "var_id") for t in tables])
     return decisions.join(known, ["id", "var_id"], "left_anti")
 
 

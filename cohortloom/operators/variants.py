@@ -416,12 +416,13 @@ def add_context(variants: DataFrame, bases: DataFrame) -> DataFrame:
     }).drop("__b", "__a")
 
 
-def signature_counts(df: DataFrame, classes: DataFrame, keys: Sequence[str] = ("id",)) -> DataFrame:
-    """Variants per substitution class; every class of ``classes`` is present, zeros kept."""
+def signature_counts(df: DataFrame, classes: DataFrame, keys: Sequence[str] = ("id",), ids: DataFrame | None = None) -> DataFrame:
+    """Variants per substitution class; every class of ``classes`` is present, zeros kept, for the
+    samples of ``ids`` (default: those with a variant)."""
     from cohortloom.operators.common import grid
 
     counts = df.filter(F.col("sbs96").isNotNull()).groupBy(*keys, "sbs96").agg(F.count(F.lit(1)).alias("n"))
-    cells = grid(df.select(*keys).distinct(), classes.select("sbs96").distinct())
+    cells = grid((df if ids is None else ids).select(*keys).distinct(), classes.select("sbs96").distinct())
     return cells.join(counts, [*keys, "sbs96"], "left").withColumn("n", F.coalesce("n", F.lit(0)).cast("long"))
 
 

@@ -255,13 +255,13 @@ def _(d):
     return GM.homopolymers(ch, w, "A", 3).select("chr", "start", "end")
 
 
-@query("window_sequence", """select conv_id * 1000 + turn as k, substr(text, 11 - 7, 15) as motif from (select conv_id, turn, min(text) as text from conversations group by 1, 2) where length(text) > 100""")
+@query("window_sequence", """select k, pos, substr(text, cast(pos - 7 as int), 15) as motif from (select conv_id * 1000 + turn as k, text, unnest(range(11, length(text) + 1, 32)) as pos from (select conv_id, turn, min(text) as text from conversations group by 1, 2))""")
 def _(d):
-    t = d.conversations.groupBy("conv_id", "turn").agg(F.min("text").alias("text")).filter(F.length("text") > 100)
-    c = t.select((F.col("conv_id") * 1000 + F.col("turn")).cast("string").alias("chr"), F.explode(F.sequence(F.lit(0), F.floor((F.length("text") - 1) / 32).cast("int"))).alias("chunk"), "text")
+    t = d.conversations.groupBy("conv_id", "turn").agg(F.min("text").alias("text")).select((F.col("conv_id") * 1000 + F.col("turn")).alias("k"), "text")
+    c = t.select(F.col("k").cast("string").alias("chr"), F.explode(F.sequence(F.lit(0), F.floor((F.length("text") - 1) / 32).cast("int"))).alias("chunk"), "text")
     ch = c.select("chr", F.col("chunk").cast("bigint").alias("chunk"), F.substring("text", F.col("chunk") * 32 + 1, F.lit(32)).alias("seq"))
-    p = t.select((F.col("conv_id") * 1000 + F.col("turn")).alias("k"), (F.col("conv_id") * 1000 + F.col("turn")).cast("string").alias("chr"), F.lit(11).alias("pos"))
-    return GM.window_sequence(p, GM.with_reach(ch, 14), 32, 7).select("k", "motif")
+    p = t.filter(F.length("text") >= 11).select("k", F.col("k").cast("string").alias("chr"), F.explode(F.sequence(F.lit(11).cast("bigint"), F.length("text").cast("bigint"), F.lit(32).cast("bigint"))).alias("pos"))
+    return GM.window_sequence(p, GM.with_reach(ch, 14), 32, 7).select("k", "pos", "motif")
 
 
 # ---------------------------------------------------------------- sources, writers, incremental

@@ -48,9 +48,9 @@ def _(d):
 
 
 @query("noise_sd", f"""with {TILE}, df as (select id, lead(cov) over (partition by id, chr order by start) - cov as d from tile), md as (select id, median(d) as m from df where d is not null group by 1)
-select df.id, round(1.4826 * median(abs(d - m)) / sqrt(2), 6) as sd from df join md using (id) where d is not null group by 1 having count(*) >= 3""")
+select df.id, case when count(*) >= 3 then round(1.4826 * median(abs(d - m)) / sqrt(2), 6) else 0 end as sd from df join md using (id) where d is not null group by 1""")
 def _(d):
-    return T.noise_sd(_tiles(d), "cov").withColumn("sd", F.round("sd", 6)).filter("sd > 0")
+    return T.noise_sd(_tiles(d), "cov").withColumn("sd", F.round("sd", 6))
 
 
 @query("outlier_smoothing", f"""with {TILE}, df as (select id, target, lead(cov) over (partition by id, target, chr order by start) - cov as d from tile), md as (select id, target, median(d) as m from df where d is not null group by 1, 2),
@@ -242,9 +242,9 @@ def _(d):
     return P.cell_fractions(d.variant, d.segment, d.meta).select("id", "var_id", "m", R("ccf"))
 
 
-@query("quick_cell_fractions", f"""with {_CCF}, u as (select *, adt / dpt / p * (p * cn + (1 - p) * nc) as u from vs) select id, var_id, greatest(1.0, round(u)) as m, round(u / greatest(1.0, round(u)), 6) as ccf from u where u is not null""".replace("greatest(1.0, round(u))", "greatest(cast(1 as double), round(u))"), ("variant", "segment", "meta"))
+@query("quick_cell_fractions", f"""with {_CCF}, u as (select *, adt / dpt / p * (p * cn + (1 - p) * nc) as u from vs) select id, var_id, case when u is not null then greatest(1.0, round(u)) end as m, round(u / greatest(1.0, round(u)), 6) as ccf from u""".replace("greatest(1.0, round(u))", "greatest(cast(1 as double), round(u))"), ("variant", "segment", "meta"))
 def _(d):
-    return P.quick_cell_fractions(d.variant, d.segment, d.meta).filter("ccf is not null").select("id", "var_id", "m", R("ccf"))
+    return P.quick_cell_fractions(d.variant, d.segment, d.meta).select("id", "var_id", "m", R("ccf"))
 
 
 @query("purity_from_variants", """
@@ -272,7 +272,7 @@ def _(d):
 
 @query("match_pairs", """
 with a as (select user_id as id, event_type as name, sum(case when event_id % 4 = 0 then 1 else 0 end) * 1.0 as a, sum(case when event_id % 4 = 1 then 1 else 0 end) * 1.0 as c, sum(case when event_id % 4 = 2 then 1 else 0 end) * 1.0 as g, sum(case when event_id % 4 = 3 then 1 else 0 end) * 1.0 as t, count(*) * 1.0 as n from events group by 1, 2),
- p as (select x.id as i, y.id as j, x.n + y.n as w, [(x.a + 1) / (x.n + 16), (x.c + 1) / (x.n + 16), (x.g + 1) / (x.n + 16), (x.t + 1) / (x.n + 16)] as u, [(y.a + 1) / (y.n + 16), (y.c + 1) / (y.n + 16), (y.g + 1) / (y.n + 16), (y.t + 1) / (y.n + 16)] as v from a x join a y on x.name = y.name and (y.id = (x.id * 7 + 1) % 150 or y.id = x.id + 1)),
+ p as (select x.id as i, y.id as j, x.n + y.n as w, [(x.a + 1) / (x.n + 16), (x.c + 1) / (x.n + 16), (x.g + 1) / (x.n + 16), (x.t + 1) / (x.n + 16)] as u, [(y.a + 1) / (y.n + 16), (y.c + 1) / (y.n + 16), (y.g + 1) / (y.n + 16), (y.t + 1) / (y.n + 16)] as v from a x join a y on x.name = y.name and (y.id = x.id * 2 or y.id = x.id + 1)),
  r as (select i, j, w, cast(list_sum(u) / 4 as double) as mu, cast(list_sum(v) / 4 as double) as mv, cast(u[1] as double) u1, cast(u[2] as double) u2, cast(u[3] as double) u3, cast(u[4] as double) u4, cast(v[1] as double) v1, cast(v[2] as double) v2, cast(v[3] as double) v3, cast(v[4] as double) v4 from p),
  c as (select i, j, w, ((u1 - mu) * (v1 - mv) + (u2 - mu) * (v2 - mv) + (u3 - mu) * (v3 - mv) + (u4 - mu) * (v4 - mv)) as cov, sqrt((pow(u1 - mu, 2) + pow(u2 - mu, 2) + pow(u3 - mu, 2) + pow(u4 - mu, 2)) * (pow(v1 - mv, 2) + pow(v2 - mv, 2) + pow(v3 - mv, 2) + pow(v4 - mv, 2))) as nv from r)
 select cast(i as varchar) as id_1, cast(j as varchar) as id_2, round(cast(sum(case when nv > 1e-12 then cov / nv end * w) / sum(w) as double), 5) as score, count(*) as n_snps from c group by 1, 2""")
@@ -280,18 +280,18 @@ def _(d):
     k = F.col("event_id") % 4
     t = d.events.groupBy(F.col("user_id").cast("string").alias("id"), F.col("event_type").alias("name")).agg(*[F.count(F.when(k == i, 1)).alias(b) for i, b in enumerate("ACGT")])
     u = d.events.select("user_id").distinct()
-    pairs = u.select(F.col("user_id").cast("string").alias("id_1"), F.explode(F.array(((F.col("user_id") * 7 + 1) % 150).cast("string"), (F.col("user_id") + 1).cast("string"))).alias("id_2"))
+    pairs = u.select(F.col("user_id").cast("string").alias("id_1"), F.explode(F.array((F.col("user_id") * 2).cast("string"), (F.col("user_id") + 1).cast("string"))).alias("id_2"))
     return ID.match_pairs(t, t, pairs).select("id_1", "id_2", R("score", 5), "n_snps")
 
 
 @query("genotype_scores", """
-with s as (select p_partkey as id, translate(substr(p_name || p_brand || p_type || 'aaaaaaaa', 1, 24), 'abcdefghijklmnopqrstuvwxyz #BEMPSTDLROANGUIC0123456789', 'ACGTACGTACGTACGTACGTACGTACRMYKACGTWSACGTACGTACGTACGTACGT') as g from part),
- c as (select id, sum(case when substr(g, i, 1) = substr('ACGTACGTACGTACGTACGTACGT', i, 1) then 1 else 0 end) as sc from (select id, g, unnest(range(1, 25)) as i from s) group by 1)
+with s as (select p_partkey as id, translate(rpad(p_name || p_brand || p_type, 166, 'a'), 'abcdefghijklmnopqrstuvwxyz #BEMPSTDLROANGUIC0123456789', 'ACGTACGTACGTACGTACGTACGTACRMYKACGTWSACGTACGTACGTACGTACGT') as g from part),
+ c as (select id, sum(case when substr(g, i, 1) = substr(repeat('ACGT', 42), i, 1) then 1 else 0 end) as sc from (select id, g, unnest(range(1, 167)) as i from s) group by 1)
 select id, round(100.0 * sc / max(sc) over (), 4) as score from c""")
 def _(d):
-    g = F.translate(F.substring(F.concat("p_name", "p_brand", "p_type", F.lit("aaaaaaaa")), 1, 24), "abcdefghijklmnopqrstuvwxyz #BEMPSTDLROANGUIC0123456789", "ACGTACGTACGTACGTACGTACGTACRMYKACGTWSACGTACGTACGTACGTACGT")
+    g = F.translate(F.rpad(F.concat("p_name", "p_brand", "p_type"), 166, "a"), "abcdefghijklmnopqrstuvwxyz #BEMPSTDLROANGUIC0123456789", "ACGTACGTACGTACGTACGTACGTACRMYKACGTWSACGTACGTACGTACGTACGT")
     pop = d.part.select(F.col("p_partkey").alias("id"), g.alias("genotype"))
-    return ID.genotype_scores("ACGTACGTACGTACGTACGTACGT", pop).select("id", R("score", 4))
+    return ID.genotype_scores(("ACGT" * 42)[:166], pop).select("id", R("score", 4))
 
 
 @query("depth_crosstab", """
@@ -311,11 +311,10 @@ def _(d):
 
 
 @query("connected_components", """
-with recursive e as (select distinct 'o' || l_orderkey as a, 'p' || l_partkey as b from lineitem join part on l_partkey = p_partkey where p_size = 3), u as (select a, b from e union all select b, a from e),
- r(node, c) as (select distinct a, a from u union select u.b, r.c from r join u on u.a = r.node) select node, min(c) as component from r group by 1""")
+with recursive e as (select distinct 'o' || l_orderkey as a, 'p' || l_partkey as b from lineitem), u as (select a, b from e union all select b, a from e),
+ r(node, c) using key (node) as (select distinct a, a from u union select u.b, min(r.c) from r join u on u.a = r.node join recurring.r as old on old.node = u.b where r.c < old.c group by u.b) select node, c as component from r""")
 def _(d):
-    e = d.lineitem.join(d.part.filter("p_size = 3"), F.col("l_partkey") == F.col("p_partkey")).select(F.concat(F.lit("o"), F.col("l_orderkey").cast("string")).alias("src"), F.concat(F.lit("p"), F.col("l_partkey").cast("string")).alias("dst"))
-    return G.connected_components(e)
+    return G.connected_components(d.lineitem.select(F.concat(F.lit("o"), F.col("l_orderkey").cast("string")).alias("src"), F.concat(F.lit("p"), F.col("l_partkey").cast("string")).alias("dst")))
 
 
 @query("log_sum_exp", """select l_suppkey, round(ln(sum(exp(l_discount * 50 - 5))) + 5, 6) as lse from lineitem group by 1""")

@@ -255,10 +255,9 @@ def _(d):
     return T.rescue_table(done, dec).select("id", "var_id", "triage")
 
 
-@query("unknown_events", """select id, var_id from variant v where adt > 48 and not exists (select 1 from structural s where s.id = v.id and s.var_id = v.var_id and s.aft < 0.05)""", ("variant", "structural"))
+@query("unknown_events", """select id, var_id from variant v where not exists (select 1 from structural s where s.id = v.id and s.var_id = v.var_id and s.aft < 0.05)""", ("variant", "structural"))
 def _(d):
-    known = d.structural.filter("aft < 0.05").select("id", "var_id")
-    return d.variant.filter("adt > 48").select("id", "var_id").join(known, ["id", "var_id"], "left_anti")
+    return T.absent_events([d.structural.filter("aft < 0.05")], d.variant.select("id", "var_id"))
 
 
 @query("update_join", """select v.var_id, coalesce(s.impact, v.impact) as impact from variant v left join (select var_id, min(topology) as impact from (select var_id, case when chr1 = chr2 then 'SAME' else 'OTHER' end as topology from structural where aft > 0.08) group by var_id) s on v.var_id = s.var_id""", ("variant", "structural"))
@@ -293,12 +292,12 @@ def _(d):
 
 
 @query("low_complexity", """
-with s as (select doc_id, regexp_extract_all(text, '[A-Za-z]{3,12}') as words from documents), w as (select doc_id, unnest(words) as w from s),
+with s as (select doc_id, regexp_extract_all(text, '[A-Za-z]{3,}') as words from documents), w as (select doc_id, unnest(words) as w from s),
  k as (select distinct w from w), t as (select w, unnest(range(1, length(w) - 1)) as i from k),
  c as (select w, substr(w, i, 3) as tri, count(*) as n from t group by 1, 2), r as (select w, sum(n * (n - 1) / 2) as s, sum(n) as m from c group by 1)
 select w as word, round(case when m >= 2 then s / (m * (m - 1) / 2) end, 6) as score from r""")
 def _(d):
-    words = d.documents.select(F.explode(F.regexp_extract_all("text", F.lit("[A-Za-z]{3,12}"), F.lit(0))).alias("word")).distinct()
+    words = d.documents.select(F.explode(F.regexp_extract_all("text", F.lit("[A-Za-z]{3,}"), F.lit(0))).alias("word")).distinct()
     return words.select("word", F.round(X.low_complexity(F.col("word")), 6).alias("score"))
 
 
@@ -458,11 +457,7 @@ def _(d):
 select i.id, c.k as sbs96, coalesce(n.n, 0) as n from i cross join c left join n on n.id = i.id and n.k = c.k""", ("variant",))
 def _(d):
     v = d.variant.withColumn("sbs96", F.col("consequence"))
-    ids = v.select("id", "sbs96")
-    good = V.signature_quality(v).select("id", "sbs96")
-    from cohortloom.operators.common import grid
-    counts = good.groupBy("id", "sbs96").agg(F.count("*").alias("n"))
-    return grid(ids.select("id").distinct(), ids.select("sbs96").distinct()).join(counts, ["id", "sbs96"], "left").withColumn("n", F.coalesce("n", F.lit(0).cast("bigint")))
+    return V.signature_counts(V.signature_quality(v), v, ids=v)
 
 
 @query("annotate_regions", """
