@@ -96,13 +96,12 @@ class CohortDataset:
 
     def subset_rows(self, numbers: Iterable[int]) -> "CohortDataset":
         """Samples by 1-based place in the id order of ``meta``."""
-        order = self.meta.select("id").orderBy("id")
-        wanted = sorted(set(numbers))
-        # meta is one row per sample; only the first max(numbers) ids are ranked (a bounded top-n).
         from pyspark.sql import Window
 
-        ranked = order.withColumn("__rn", F.row_number().over(Window.orderBy("id")))
-        chosen = ranked.filter(F.col("__rn") <= (wanted[-1] if wanted else 0)).filter(F.col("__rn").isin(wanted))
+        wanted = sorted(set(numbers))
+        # A top-n of the largest number asked for comes first, so only that many ids are ever in one task.
+        first = self.meta.select("id").orderBy("id").limit(wanted[-1] if wanted else 0)
+        chosen = first.withColumn("__rn", F.row_number().over(Window.orderBy("id"))).filter(F.col("__rn").isin(wanted))
         return self.subset("id", chosen.select("id"))
 
     def subset_genes(self, names: Iterable[str] = (), gene_ids: Iterable[str] = ()) -> "CohortDataset":

@@ -48,12 +48,13 @@ def first_row(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> Da
     return top_n(df, keys, order, 1)
 
 
-def grid(left: DataFrame, right: DataFrame, buckets: int = 32) -> DataFrame:
+def grid(left: DataFrame, right: DataFrame) -> DataFrame:
     """Every pairing of two small key lists (a dense matrix result needs all cells).
 
-    Written as an equi-join on a bucket number, so neither side must fit in one task and the
-    output is spread over ``buckets`` partitions at least.
+    Written as an equi-join on a bucket number, one bucket per shuffle partition, so neither side
+    must fit in one task and the output is spread over as many tasks as any other shuffle.
     """
+    buckets = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     lhs = left.withColumn("__b", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
     rhs = right.withColumn("__b", F.pmod(F.xxhash64(*right.columns), F.lit(buckets)).cast("int"))
     return lhs.join(rhs, "__b").drop("__b")

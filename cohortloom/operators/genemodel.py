@@ -244,25 +244,6 @@ def homopolymers(chunks: DataFrame, width: int, bases: str = "ACGT", min_length:
     return merge_ranges(kept, ["chr", "base"]).filter(F.col("end") - F.col("start") + 1 >= min_length)
 
 
-def interval_batches(intervals: DataFrame, size: int = 1_000_000, order: Sequence[str] = ("ord",)) -> DataFrame:
-    """Consecutive intervals grouped so that each batch reaches ``size`` bases before the next starts.
-
-    The total restarts after each batch, so the state depends on all rows before.  Interval lists for
-    scattering are one genome's worth of gaps, a bounded list, folded in order as one array.
-    """
-    n = F.col("end") - F.col("start") + 1
-    rows = F.array_sort(F.collect_list(F.struct(*order, "chr", "start", "end", n.alias("n"))))
-    start = F.struct(F.lit(0).cast("bigint").alias("t"), F.lit(0).alias("b"), F.array().cast("array<int>").alias("out"))
-
-    def step(acc, e):
-        t = acc["t"] + e["n"]
-        full = t >= size
-        return F.struct(F.when(full, F.lit(0).cast("bigint")).otherwise(t).alias("t"), (acc["b"] + F.when(full, 1).otherwise(0)).alias("b"), F.concat(acc["out"], F.array(acc["b"])).alias("out"))
-
-    one = intervals.agg(rows.alias("r")).withColumn("b", F.aggregate("r", start, step)["out"])
-    return one.select(F.explode(F.arrays_zip("r", "b")).alias("x")).select(*[F.col(f"x.r.{c}").alias(c) for c in (*order, "chr", "start", "end")], F.col("x.b").alias("batch"))
-
-
 def locus_splices(junctions: DataFrame, loci: DataFrame) -> DataFrame:
     """Splice junctions and fragments per sample and locus, with counts per million; zeros kept."""
     hit = overlap_join(junctions.select("sid", "chr", "start", "end", "strand", "nfrag"), loci.select("chr", "start", "end", "strand", "locus_id"), strand="strand")

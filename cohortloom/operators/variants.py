@@ -250,7 +250,7 @@ def impact_score() -> Column:
 
 
 #: fixed values: flags of the transcript-preference table.
-PREFERENCE_FLAGS = ["known", "ccds", "lrg", "select", "basic", "appris1", "tsl1", "valid", "mo_v4", "mo_v6"]
+PREFERENCE_FLAGS = ["known", "ccds", "lrg", "select", "basic", "appris1", "tsl1", "valid", "panel_old", "panel_new"]
 
 
 def with_preferences(csq: DataFrame, preferences: DataFrame) -> DataFrame:
@@ -273,18 +273,18 @@ def preference_score() -> Column:
         """Score after the plain reasons, then the ones that need a score already reached."""
         score = later_wins(steps, known)
         score = F.when((score >= 30) & F.coalesce(picked, F.lit(False)), F.lit(50)).otherwise(score)
-        score = F.when((score >= 20) & p("mo_v6"), F.lit(60)).otherwise(score)
+        score = F.when((score >= 20) & p("panel_new"), F.lit(60)).otherwise(score)
         return score
 
     refseq = ladder([
-        (p("mo_v4"), F.lit(10)), (p("ccds") | p("lrg"), F.lit(20)),
-        (canonical & (p("mo_v4") | p("ccds") | p("lrg")), F.lit(30)), (p("select"), F.lit(40)),
+        (p("panel_old"), F.lit(10)), (p("ccds") | p("lrg"), F.lit(20)),
+        (canonical & (p("panel_old") | p("ccds") | p("lrg")), F.lit(30)), (p("select"), F.lit(40)),
     ])
     symbol_ok = F.coalesce(F.col("symbol_source") != "Clone_based_ensembl_gene", F.lit(True))
     any_ccds = p("lrg") | p("ccds") | filled("ccds")
     ensembl = F.when(symbol_ok, ladder([
-        (p("basic") | p("mo_v4"), F.lit(10)), (any_ccds, F.lit(20)),
-        (canonical & (p("basic") | p("mo_v4") | any_ccds), F.lit(30)),
+        (p("basic") | p("panel_old"), F.lit(10)), (any_ccds, F.lit(20)),
+        (canonical & (p("basic") | p("panel_old") | any_ccds), F.lit(30)),
         (p("appris1") | p("tsl1") | (F.col("tsl") == "1") | p("valid"), F.lit(40)),
     ])).otherwise(known)
     mane = filled("mane_select")

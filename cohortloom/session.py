@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,23 +26,29 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``.
+    """This application's folder inside the one the cluster names in ``spark.checkpoint.dir``.
 
-    A private folder is made only in local mode with the setting absent (tests); on a cluster a
-    machine-local folder would be lost with its machine, so its absence is an error there.
+    Where the setting is absent (local mode, tests), the warehouse takes its place: it is shared by
+    all executors too.  What the application stored is removed when the driver ends.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return shared
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    global _LOCAL
-    if _LOCAL is None:
-        _LOCAL = tempfile.mkdtemp(prefix="cohortloom-ckpt-")
-    return _LOCAL
+    shared = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_stages"
+    folder = f"{shared.rstrip('/')}/cohortloom-{spark.sparkContext.applicationId}"
+    if folder not in _MADE:
+        _MADE.add(folder)
+        atexit.register(_remove, spark.sparkContext, folder)
+    return folder
 
 
-_LOCAL: str | None = None
+_MADE: set[str] = set()
+
+
+def _remove(context, folder: str) -> None:
+    """Delete a folder through Spark's own file systems; a session that is gone has nothing to do it with."""
+    try:
+        path = context._gateway.jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(context._gateway.jvm.org.apache.hadoop.conf.Configuration()).delete(path, True)
+    except Exception:  # noqa: BLE001  the driver is ending
+        pass
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -51,6 +57,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     The stored copy survives the loss of any executor, is computed once, and, being parquet, gives
     later plans column pruning and true sizes.
     """
-    path = f"{shared_folder(df.sparkSession).rstrip('/')}/cohortloom-{uuid.uuid4().hex}"
+    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -394,8 +394,7 @@ def _(d):
 with e as (select var_id, id, chr1, pos1 // 100000 as b1, chr2, pos2 // 100000 as b2, caller_filter from structural)
 select var_id, id, count(*) over (partition by chr1, b1, chr2, b2, caller_filter) as recurrence from e where chr1 in (select chr from sizes) and chr2 in (select chr from sizes)""", ("structural", "sizes"))
 def _(d):
-    bins = d.sizes.select("chr", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(2_000_000).cast("bigint"), F.lit(100000).cast("bigint"))).alias("start")) if False else \
-        d.sizes.select("chr", F.explode(F.sequence(F.lit(0).cast("bigint"), F.greatest(F.col("length"), F.lit(12_000_000)), F.lit(100000).cast("bigint"))).alias("start"))
+    bins = d.sizes.select("chr", F.explode(F.sequence(F.lit(0).cast("bigint"), F.greatest(F.col("length"), F.lit(12_000_000)), F.lit(100000).cast("bigint"))).alias("start"))
     bins = bins.select("chr", "start", (F.col("start") + 99999).alias("end"), F.concat("chr", F.lit(":"), F.col("start").cast("string")).alias("name"))
     ev = d.structural.select("var_id", "id", "chr1", "pos1", "chr2", "pos2", "caller_filter")
     return N.binned_recurrence(ev, bins, [("chr1", "pos1"), ("chr2", "pos2")], ["caller_filter"]).select("var_id", "id", "recurrence")

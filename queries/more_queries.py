@@ -127,7 +127,10 @@ def _(d):
 
 @query("transcript_distance", f"""with {EX}, o as (select *, coalesce(sum("end" - start + 1) over (partition by transcript_id order by case when strand = '-' then -start else start end rows between unbounded preceding and 1 preceding), 0) as off from ex),
  j as (select distinct l_linenumber as t, 'chr' || (l_partkey % 3 + 1) as c5, l_partkey * 500 + l_suppkey as p5, 'chr' || (l_partkey % 3 + 1) as c3, l_partkey * 500 + 500 + l_suppkey * 2 as p3 from lineitem),
- m as (select j.*, a.transcript_id, a.off + case when a.strand = '-' then a."end" - (p5 - 1) else p5 - 1 - a.start end + 1 as t5, b.off + case when b.strand = '-' then b."end" - (p3 + 1) else p3 + 1 - b.start end + 1 as t3 from j join o a on a.chr = c5 and p5 - 1 between a.start and a."end" join o b on b.chr = c3 and b.transcript_id = a.transcript_id and p3 + 1 between b.start and b."end"),
+ ob as (select o.*, unnest(range(start // 1000, "end" // 1000 + 1)) as bin from o),
+ x5 as (select c5, p5, transcript_id, off + case when strand = '-' then "end" - (p5 - 1) else p5 - 1 - start end + 1 as t5 from (select distinct c5, p5 from j) j join ob on ob.chr = c5 and ob.bin = (p5 - 1) // 1000 where p5 - 1 between start and "end"),
+ x3 as (select c3, p3, transcript_id, off + case when strand = '-' then "end" - (p3 + 1) else p3 + 1 - start end + 1 as t3 from (select distinct c3, p3 from j) j join ob on ob.chr = c3 and ob.bin = (p3 + 1) // 1000 where p3 + 1 between start and "end"),
+ m as (select j.*, x5.transcript_id, t5, t3 from j join x5 on x5.c5 = j.c5 and x5.p5 = j.p5 join x3 on x3.c3 = j.c3 and x3.p3 = j.p3 and x3.transcript_id = x5.transcript_id),
  r as (select *, row_number() over (partition by t, c5, p5, c3, p3 order by abs(t5 - t3), transcript_id) rn from m)
 select cast(j.t as int) as type, j.p5 as pos_5, j.p3 as pos_3, cast(-(r.t5 - r.t3) as bigint) as tx_dst, j.p5 - j.p3 as gx_dst, cast(least(abs(coalesce(r.t5 - r.t3, 2147483647)), abs(j.p5 - j.p3)) as bigint) as bp_dst from j left join r on rn = 1 and r.t = j.t and r.p5 = j.p5 and r.p3 = j.p3 and r.c5 = j.c5""")
 def _(d):
@@ -159,14 +162,13 @@ def _(d):
     return GM.clean_gene_model(base.unionByName(genes)).filter("type = 'gene'").select("gene_id", "start", "end").distinct()
 
 
-@query("forest_pass")
+@query("forest_pass", """select id, var_id, coalesce((case when tlod > 20 and adt > 20 then mqs > 22 else tlod > 10 and coalesce(pon, '') = '' and dbsnp is null end or tlod > 15 and nlod > 20 and flod > 16 and sor < 3 and xfet < 1e-4 and adt_fwd >= 5 and adt_rev >= 5 and adn <= 2)
+  and impact in ('HIGH', 'MODERATE'), false) as pass from variant""", ("variant",))
 def _(d):
-    from pyspark.ml import Pipeline
-    from pyspark.ml.classification import RandomForestClassifier
-    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.feature import SQLTransformer
 
-    v = V.derived_filters(d.variant).withColumn("oxog", F.lit(None).cast("double"))
-    label = F.when((F.col("tlod") > 20) & (F.col("adt") > 20), 1.0).otherwise(0.0)
-    stages = [VectorAssembler(inputCols=["tlod", "adt", "gdc_mask", "in_dbsnp", "is_rmsk", "mqs"], outputCol="features", handleInvalid="keep"), RandomForestClassifier(labelCol="y", numTrees=5, maxDepth=4, seed=7)]
-    model = Pipeline(stages=stages).fit(T.forest_features(v).withColumn("y", label))
-    return T.forest_pass(model, v, rescue=True).groupBy("impact", "pass").agg(F.count("*").alias("n"))
+    # A fixed tree stands in for the user's fitted model.
+    tree = "select *, cast(case when tlod > 20 and adt > 20 then mqs > 22 else tlod > 10 and gdc_mask = 0 and in_dbsnp = 0 end as double) as prediction from __THIS__"
+    v = d.variant.withColumn("oxog", F.lit(None).cast("double"))
+    return T.forest_pass(PipelineModel([SQLTransformer(statement=tree)]), v, rescue=True).select("id", "var_id", "pass")

@@ -174,10 +174,6 @@ def _(d):
     return T.triage_flags(d.structural, "structural", d.gene).drop("custom")
 
 
-_FUSION = """ {src} as (select min(o_custkey) as ck, l_orderkey as var_id,
-     {agg5} as gene_ids_5_1, {agg3} as gene_ids_3_1 from lineitem l join orders o on l.l_orderkey = o.o_orderkey group by l_orderkey)"""
-
-
 @query("triage_fusion_genes", """
 with fus as (select cast(o_custkey as varchar) as id, cast(l_orderkey as varchar) as var_id, l_partkey, l_suppkey, l_quantity > 10 as hq, l_tax > 0.03 as mm2, l_discount > 0.05 as gmap, l_quantity > 45 as hi
    from lineitem l join orders o on l.l_orderkey = o.o_orderkey),
@@ -369,13 +365,13 @@ def _(d):
 
 
 PREF_SQL = """pref as (select concat('F', p_partkey % 300) as id_short, bool_or(p_size % 2 = 0) as known, bool_or(p_size = 7) as ccds, bool_or(p_size = 9) as lrg, bool_or(p_size = 11) as "select",
-   bool_or(p_size = 13) as basic, bool_or(p_size = 15) as mo_v4, bool_or(p_size = 17) as mo_v6, bool_or(p_size = 19) as tsl1 from part group by 1)"""
+   bool_or(p_size = 13) as basic, bool_or(p_size = 15) as panel_old, bool_or(p_size = 17) as panel_new, bool_or(p_size = 19) as tsl1 from part group by 1)"""
 
 
 def _prefs(d):
     return d.part.groupBy(F.concat(F.lit("F"), (F.col("p_partkey") % 300).cast("string")).alias("id_short")).agg(
         F.bool_or(F.col("p_size") % 2 == 0).alias("known"), *[F.bool_or(F.col("p_size") == v).alias(n) for n, v in
-        [("ccds", 7), ("lrg", 9), ("select", 11), ("basic", 13), ("mo_v4", 15), ("mo_v6", 17), ("tsl1", 19)]])
+        [("ccds", 7), ("lrg", 9), ("select", 11), ("basic", 13), ("panel_old", 15), ("panel_new", 17), ("tsl1", 19)]])
 
 
 def _scored(d):
@@ -387,8 +383,8 @@ def _scored(d):
 
 
 SCORE_SQL = rf"""{CSQ_SQL}, {PREF_SQL}, j as (select c.*, regexp_extract(feature, '(.*)\.[0-9]+$', 1) as id_short from csq c),
- k as (select j.*, {IMPACT_SQL} as impact_score, coalesce(known, false) known, coalesce(ccds, false) ccds, coalesce(lrg, false) lrg, coalesce("select", false) sel, coalesce(basic, false) basic, coalesce(mo_v4, false) v4,
-   coalesce(mo_v6, false) v6, coalesce(tsl1, false) tsl1, exon <> '' as can, protein_position <> '' as pick, impact = 'HIGH' and intron <> '' as mane, cdna_position <> '' as symok from j left join pref using (id_short)),
+ k as (select j.*, {IMPACT_SQL} as impact_score, coalesce(known, false) known, coalesce(ccds, false) ccds, coalesce(lrg, false) lrg, coalesce("select", false) sel, coalesce(basic, false) basic, coalesce(panel_old, false) v4,
+   coalesce(panel_new, false) v6, coalesce(tsl1, false) tsl1, exon <> '' as can, protein_position <> '' as pick, impact = 'HIGH' and intron <> '' as mane, cdna_position <> '' as symok from j left join pref using (id_short)),
  a as (select *, case when not known then 0 when biotype = 'protein_coding' then 5 else 3 end as base from k),
  b as (select *, case when source = 'RefSeq' then case when sel then 40 when can and (v4 or ccds or lrg) then 30 when ccds or lrg then 20 when v4 then 10 else base end
     when symok then case when tsl1 then 40 when can and (basic or v4 or lrg or ccds) then 30 when lrg or ccds then 20 when basic or v4 then 10 else base end else base end as s1, source = 'RefSeq' or symok as lad from a),

@@ -187,11 +187,6 @@ def test_homopolymers_across_chunks(spark):
         assert rows(GM.homopolymers(GM.sequence_chunks(bases, w), w, "AT", 5), "base", "start", "end") == [("A", 15, 19), ("A", 2, 7), ("T", 8, 12)]
 
 
-def test_interval_batches_reset(spark):
-    df = spark.createDataFrame([(i, "c", 1, 400_000) for i in range(5)], "ord int, chr string, start int, end int")
-    assert [r["batch"] for r in GM.interval_batches(df).orderBy("ord").collect()] == [0, 0, 0, 1, 1]
-
-
 def test_validate_contigs(spark):
     key = ("s", 1, "chr1", 10, "+", "chr2", 20, "+")
     cols = "id string, type int, chr_5 string, pos_5 int, str_5 string, chr_3 string, pos_3 int, str_3 string"
