@@ -215,6 +215,50 @@ def feature_values(data: DataFrame, features: DataFrame, name: str | None = None
     return out.withColumn("value", F.when(F.col("value") >= 0, F.col("value")))
 
 
+def _of(df: DataFrame, ids: Sequence[str] | None) -> DataFrame:
+    return df if ids is None else df.filter(F.col("id").isin(list(ids)))
+
+
+def retrieve_expression(with_copies: DataFrame, ids: Sequence[str] | None = None) -> DataFrame:
+    """Genes with expression and their most aberrant copy number ``c``, highest expression first."""
+    one = most_aberrant(_of(with_copies, ids), ["id", "gene_id"], "c")
+    return one.select("id", "gene_id", "gene_name", "rpkm", "c").orderBy("id", F.col("rpkm").desc_nulls_last(), "gene_id")
+
+
+def retrieve_segments(with_genes: DataFrame, ids: Sequence[str] | None = None) -> DataFrame:
+    """Segments with their genes along the genome."""
+    return _of(with_genes, ids).orderBy("id", "chr", "start")
+
+
+def retrieve_structural(structural: DataFrame, ids: Sequence[str] | None = None) -> DataFrame:
+    """Structural variants, highest allele fraction and then quality first."""
+    return _of(structural, ids).orderBy("id", F.col("aft").desc_nulls_last(), F.col("qual").desc_nulls_last())
+
+
+def retrieve_fusions(fusions: DataFrame, recur: DataFrame, ids: Sequence[str] | None = None) -> DataFrame:
+    """Fusions with recurrence, most supporting reads (junctions and breakpoints) first."""
+    reads = F.coalesce("sum_jnc", F.lit(0)) + F.coalesce("sum_bpt", F.lit(0))
+    return fusions_with_recurrence(_of(fusions, ids), recur).orderBy("id", reads.desc())
+
+
+def feature_names(data: DataFrame, ids: Sequence[str] | None = None) -> DataFrame:
+    """Names of the feature sets each sample has."""
+    return _of(data, ids).select("id", "name").distinct()
+
+
+def retrieve_features(data: DataFrame, features: DataFrame, name: str, ids: Sequence[str] | None = None) -> DataFrame:
+    """One feature set as rows, highest value first; negative values mean missing."""
+    return feature_values(_of(data, ids), features, name).orderBy("id", F.col("value").desc_nulls_last())
+
+
+def feature_distribution(data: DataFrame, features: DataFrame, name: str, feature: str, groupings: DataFrame) -> DataFrame:
+    """One feature's value in every sample that has the set, with the sample's patient and cohort."""
+    places = features.filter(F.col("name") == name).select(F.array_position("feature", F.lit(feature)).cast("int").alias("p"))
+    at = places.filter("p > 0").agg(F.min("p")).scalar()
+    own = data.filter(F.col("name") == name).select("id", F.try_element_at("value", at).alias("value"))
+    return own.join(groupings.select("id", "patient", "cohort"), "id", "left").filter(F.col("value").isNotNull())
+
+
 def pack_values(df: DataFrame, index: DataFrame, columns: Sequence[str], digits: int | None = 2) -> DataFrame:
     """One row per sample with arrays in gene-index order; absent values -1."""
     cells = grid(df.select("id").distinct(), index.select("gene_id", "idx")).join(df, ["id", "gene_id"], "left")

@@ -137,6 +137,57 @@ def _(d):
     return C.feature_values(data, feats).select("id", "feature", F.round("value", 5).alias("value"))
 
 
+def _features(d):
+    data = d.embeddings.select(F.col("vec_id").cast("string").alias("id"), F.lit("e").alias("name"), F.col("embedding").cast("array<double>").alias("value"))
+    n = d.embeddings.agg(F.max(F.size("embedding")).alias("n"))
+    named = lambda i: F.concat(F.lit("f"), i.cast("string"))
+    return data, n.select(F.lit("e").alias("name"), F.transform(F.sequence(F.lit(1), "n"), named).alias("feature"), F.transform(F.sequence(F.lit(1), "n"), named).alias("gene"))
+
+
+@query("retrieve_features", """select cast(vec_id as varchar) as id, 'f' || i as feature, round(case when embedding[i] >= 0 then cast(embedding[i] as double) end, 5) as value from (select vec_id, embedding, unnest(range(1, len(embedding) + 1)) as i from embeddings)""")
+def _(d):
+    return C.retrieve_features(*_features(d), "e").select("id", "feature", F.round("value", 5).alias("value"))
+
+
+@query("feature_distribution", """select cast(vec_id as varchar) as id, round(cast(embedding[5] as double), 5) as value, cohort, cohort || '-' || m.id as patient from embeddings left join meta m on m.id = cast(vec_id as varchar) where embedding[5] is not null""", ("meta",))
+def _(d):
+    g = d.meta.select("id", "cohort", F.concat("cohort", F.lit("-"), "id").alias("patient"))
+    return C.feature_distribution(*_features(d), "e", "f5", g).select("id", F.round("value", 5).alias("value"), "cohort", "patient")
+
+
+@query("feature_names", """select distinct cast(vec_id as varchar) as id, 'e' as name from embeddings""")
+def _(d):
+    return C.feature_names(_features(d)[0])
+
+
+@query("retrieve_structural", """select id, var_id, aft, qual from structural""", ("structural",))
+def _(d):
+    return C.retrieve_structural(d.structural).select("id", "var_id", "aft", "qual")
+
+
+@query("retrieve_expression", """
+with sg as (select s.id, s.C, g.gene_id from segment s join gene g on g.chr = s.chr and s.start <= g."end" and s."end" >= g.start), e as (select id, gene_id, round(count / 7.0, 4) as rpkm from expression),
+ o as (select e.*, sg.C as c, row_number() over (partition by e.id, e.gene_id order by abs(sg.C - 2) desc nulls last, sg.C desc nulls last, rpkm) rn from e left join sg on sg.id = e.id and sg.gene_id = e.gene_id)
+select id, gene_id, c, max(rpkm) over (partition by id, gene_id) as rpkm from o qualify rn = 1""", ("segment", "gene", "expression"))
+def _(d):
+    copies = C.genes_per_segment(d.segment, N.segment_gene_map(d.segment, d.gene)).select("id", F.col("C").alias("c"), F.explode("genes").alias("gene_id"))
+    x = d.expression.select("id", "gene_id", F.round(F.col("count") / 7, 4).alias("rpkm")).join(copies, ["id", "gene_id"], "left").withColumn("gene_name", F.col("gene_id"))
+    return C.retrieve_expression(x).select("id", "gene_id", "c", "rpkm")
+
+
+@query("retrieve_segments", """select s.id, s.var_id, s.chr, s.start, cast(count(distinct g.gene_id) as int) as n_genes from segment s left join gene g on g.chr = s.chr and s.start <= g."end" and s."end" >= g.start group by 1, 2, 3, 4""", ("segment", "gene"))
+def _(d):
+    return C.retrieve_segments(C.genes_per_segment(d.segment, N.segment_gene_map(d.segment, d.gene))).select("id", "var_id", "chr", "start", F.size("genes").alias("n_genes"))
+
+
+@query("retrieve_fusions", """
+with f as (select id, var_id, coalesce(gene_id_1, '') || '-' || coalesce(gene_id_2, '') as pair, cast(floor(qual) as bigint) as sum_jnc, cast(floor(aft * 100) as bigint) as sum_bpt from structural), r as (select pair, count(*) as n from f group by 1 having count(*) > 1)
+select id, var_id, pair, coalesce(n, 1) as recur, sum_jnc, sum_bpt from f left join r using (pair)""", ("structural",))
+def _(d):
+    f = d.structural.select("id", "var_id", F.coalesce("gene_id_1", F.lit("")).alias("gene_ids_5_1"), F.coalesce("gene_id_2", F.lit("")).alias("gene_ids_3_1"), F.floor("qual").alias("sum_jnc"), F.floor(F.col("aft") * 100).alias("sum_bpt"))
+    return C.retrieve_fusions(f, C.recurrence(f, F.concat_ws("-", "gene_ids_5_1", "gene_ids_3_1"))).select("id", "var_id", "pair", "recur", "sum_jnc", "sum_bpt")
+
+
 @query("fusion_recurrence", """
 with f as (select distinct id, var_id, coalesce(gene_id_1, '') as a, coalesce(gene_id_2, '') as b from structural), r as (select a || '-' || b as p, count(*) as n from f group by 1 having count(*) > 1)
 select f.id, f.var_id, a || '-' || b as pair, coalesce(r.n, 1) as recur from f left join r on r.p = a || '-' || b""", ("structural",))

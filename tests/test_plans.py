@@ -5,7 +5,7 @@ from cohortloom.operators import cohort as C
 from cohortloom.operators import tiles as T
 from cohortloom.operators.copynumber import gene_copies, segment_gene_map
 from cohortloom.plans.annotate import annotate_dataset, subset_annotation
-from cohortloom.plans.prepare import model_input, prepare_samples
+from cohortloom.plans.prepare import log_ratio, model_input, prepare_samples
 from tests.conftest import rows
 
 
@@ -54,3 +54,29 @@ def test_prepare_samples_and_model_input(spark):
     assert abs(t.filter("hq and target").agg(F.avg("lr")).collect()[0][0]) < 0.05
     st = m["stats"].collect()[0]
     assert st["sd_lr"] > 0 and st["sd_baf"] >= 0
+    # Every kind of ratio can be asked for; each equals its definition on the normalised coverage.
+    t = p["tiles"]
+    for c in "tn":
+        t = T.normalise_coverage(t, f"{c}_cov_raw", f"{c}_cov")
+    noise = t.select("chr", "start", F.explode(F.array(F.lit("male"), F.lit("female"))).alias("pool"), F.lit(0.1).alias("sd"), F.lit(2.0).alias("median"), (F.col("chr") == "chrX").alias("sex_chr"))
+    none_of = t.select("chr", "start", F.lit(0).alias("comp"), F.lit(0.0).alias("u"))
+    for kind, want in {"t_lr": F.log2("t_cov"), "n_lr": F.log2("n_cov"), "tn_lr": F.log2(F.col("t_cov") / F.col("n_cov")), "tp_lr": F.log2(F.col("t_cov") / F.col("n_cov")), "np_lr": F.log2(F.col("n_cov") / 2.0)}.items():
+        got = log_ratio(t, kind, p["sex"], {"noise": noise, "components": none_of}).withColumn("want", want)
+        assert got.count() == 100 and got.filter("abs(lr - want) > 1e-9 or lr is null").count() == 0, kind
+    assert model_input(p, "tumor", o, tumor="alone")["tiles"].filter("lr is not null").count() == 100
+
+
+def test_retrievals_are_sorted_by_sample(spark):
+    sv = spark.createDataFrame([("s", "a", 0.1, 5.0), ("s", "b", 0.4, 1.0), ("s", "c", 0.4, 9.0), ("s", "d", None, 9.0), ("t", "e", 0.9, 1.0)], "id string, var_id string, aft double, qual double")
+    assert [r["var_id"] for r in C.retrieve_structural(sv, ["s"]).collect()] == ["c", "b", "a", "d"]
+    gx = spark.createDataFrame([("s", "g1", "A", 1.0, 2.0), ("s", "g1", "A", 1.0, 5.0), ("s", "g2", "B", 7.0, None), ("s", "g3", "C", None, 1.0)], "id string, gene_id string, gene_name string, rpkm double, c double")
+    assert [tuple(r) for r in C.retrieve_expression(gx).collect()] == [("s", "g2", "B", 7.0, None), ("s", "g1", "A", 1.0, 5.0), ("s", "g3", "C", None, 1.0)]
+    f = spark.createDataFrame([("s", "x", "g1", "g2", 1, None), ("s", "y", "g1", "g2", 2, 3)], "id string, var_id string, gene_ids_5_1 string, gene_ids_3_1 string, sum_jnc long, sum_bpt long")
+    r = C.recurrence(f, F.concat_ws("-", "gene_ids_5_1", "gene_ids_3_1"))
+    assert [(x["var_id"], x["recur"]) for x in C.retrieve_fusions(f, r).collect()] == [("y", 2), ("x", 2)]
+    data = spark.createDataFrame([("s", "prot", [1.0, -1.0, 3.0]), ("t", "prot", [2.0, 0.5, 1.0])], "id string, name string, value array<double>")
+    feats = spark.createDataFrame([("prot", ["a", "b", "c"], ["A", "B", "C"])], "name string, feature array<string>, gene array<string>")
+    assert [(x["feature"], x["value"]) for x in C.retrieve_features(data, feats, "prot", ["s"]).collect()] == [("c", 3.0), ("a", 1.0), ("b", None)]
+    g = spark.createDataFrame([("s", "p1", "k"), ("t", "p2", "k")], "id string, patient string, cohort string")
+    assert rows(C.feature_distribution(data, feats, "prot", "a", g), "id", "value", "patient") == [("s", 1.0, "p1"), ("t", 2.0, "p2")]
+    assert C.feature_distribution(data, feats, "prot", "none", g).count() == 0 and rows(C.feature_names(data)) == [("s", "prot"), ("t", "prot")]
