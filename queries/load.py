@@ -7,4 +7,5 @@ from queries import (  # noqa: F401
     model_queries,
     more_queries,
     variant_queries,
+    verify_queries,
 )

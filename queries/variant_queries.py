@@ -194,31 +194,31 @@ def _(d):
 for _name in ("pediatric", "prostate", "tumor_only", "old_default", "old_caller", "old_pediatric"):
     def _run(d, name=_name):
         v = _variants(d).withColumn("tn", F.lit(0.0))
-        return T.triage_table(v, "somatic", d.gene, T.RULE_SETS[name]).groupBy("triage").agg(F.count("*").alias("n"))
+        return T.triage_table(v, "somatic", d.gene, T.RULE_SETS[name]).select("id", "var_id", "triage")
 
     if _name == "prostate":
-        _sql = f"""with {FLAGS_SQL}, p as (select case when adn is null then not (goi and tlod > 5 and impact in ('HIGH','MODERATE') and aft >= 0.02 and adt >= 10 and (gnomad_af = 0 or (gnomad_af < 0.001 and aft > 0.025)))
+        _sql = f"""with {FLAGS_SQL}, p as (select id, var_id, case when adn is null then not (goi and tlod > 5 and impact in ('HIGH','MODERATE') and aft >= 0.02 and adt >= 10 and (gnomad_af = 0 or (gnomad_af < 0.001 and aft > 0.025)))
           else not (tlod > 6 and nlod > 6 and flod > 1.5 and aft >= 0.02 and afn < 0.02 and adt >= 7 and adn < 7 and (xfet < 0.05 or (xfet < 0.1 and adn = 0 and tlod > 7.5 and nlod > 7.5)) and aft > afn * 10 and mqs > 23
             and (gnomad_af = 0 or (gnomad_af < 0.001 and aft > 0.025)) and impact in ('HIGH','MODERATE')) end as bad from f)
-          select case when bad then 'custom' else '' end as triage, count(*) as n from p group by 1"""
+          select id, var_id, case when bad then 'custom' else '' end as triage from p"""
     elif _name == "pediatric":
         _sql = f"""with {FLAGS_SQL}, p as (select coalesce(ccf >= 0.05, true) and adt_fwd > 0 and adt_rev > 0 and sor < 4 and coalesce(mqrs > -3, false) and mqs > 23 and aft >= 0.02 and impact in ('HIGH','MODERATE')
             and (gnomad_af = 0 or (gnomad_af < 0.001 and aft > 0.025)) as base, * from f),
-          q as (select case when adn is null then not (base and goi and tlod > 5 and adt >= 10)
+          q as (select id, var_id, case when adn is null then not (base and goi and tlod > 5 and adt >= 10)
             else not (base and tlod > 6 and nlod > 6 and flod > 1.5 and afn < 0.02 and adt >= 7 and adn < 7 and (xfet < 0.05 or (xfet < 0.1 and adn = 0 and tlod > 7.5 and nlod > 7.5)) and aft > afn * 10) end as bad from p)
-          select case when bad then 'custom' else '' end as triage, count(*) as n from q group by 1"""
+          select id, var_id, case when bad then 'custom' else '' end as triage from q"""
     elif _name == "old_pediatric":
         _sql = f"""with {FLAGS_SQL}, p as (select coalesce(ccf >= 0.05, true) and adt_fwd > 0 and adt_rev > 0 and sor < 4 and coalesce(mqrs > -3, false) and mqs > 23 and aft >= 0.02 and impact in ('HIGH','MODERATE')
             and (gnomad_af = 0 or (gnomad_af < 0.001 and aft > 0.025)) and (nn < 0.01 or cosmic_cnt > 100) as base, * from f),
-          q as (select case when adn is null then not (base and tlod > 5 and adt >= 10)
+          q as (select id, var_id, case when adn is null then not (base and tlod > 5 and adt >= 10)
             else not (base and tlod > 6 and nlod > 6 and flod > 1.5 and afn < 0.02 and adt >= 7 and adn < 7 and (xfet < 0.05 or (xfet < 0.1 and adn = 0 and tlod > 7.5 and nlod > 7.5)) and aft > afn * 10) end as bad from p)
-          select case when bad then 'custom' else '' end as triage, count(*) as n from q group by 1"""
+          select id, var_id, case when bad then 'custom' else '' end as triage from q"""
     elif _name == "tumor_only":
-        _sql = f"""with {FLAGS_SQL}, s as (select not ag as a, case when adn is null then not anno_to and not (
+        _sql = f"""with {FLAGS_SQL}, s as (select id, var_id, not ag as a, case when adn is null then not anno_to and not (
               (clean and adt > 6 and aft >= 0.05 and fw and rv and sor < 4 and mq and mqs > 25 and gnomad_af < case when dbsnp is null then 0.01 else 0.001 end)
               or (rep and adt > 12 and tlod > 12 and aft >= 0.05 and adt_fwd > 2 and adt_rev > 2 and sor < 3.5 and case when mqrs is null then aft > 0.9 else mqrs > -2.5 end and mqs > 27 and gnomad_af < 0.01))
             else not data_tn and not anno_tn end as e, impact not in ('HIGH', 'MODERATE') as c, not goi as g, art, phase from f)
-          select concat_ws(';', case when a then 'annotation' end, case when e then 'evidence' end, case when c then 'consequence' end, case when g then 'goi' end, case when art then 'artifact' end, case when phase then 'phase' end) as triage, count(*) as n from s group by 1"""
+          select id, var_id, concat_ws(';', case when a then 'annotation' end, case when e then 'evidence' end, case when c then 'consequence' end, case when g then 'goi' end, case when art then 'artifact' end, case when phase then 'phase' end) as triage from s"""
     elif _name in ("old_default", "old_caller"):
         _old = _name == "old_default"
         _q1 = "and sor < 4 and case when mqrs is null then aft > 0.9 else mqrs > -3 end and mqs > 25 and fw and rv and flod > 3" if _old else "and mqrs is null and aft > 0.9"
@@ -236,8 +236,8 @@ for _name in ("pediatric", "prostate", "tumor_only", "old_default", "old_caller"
              or (rep and ((adt > 5 and aft > 0.027) or (adt > 6 and aft > 0.025) or (adt > 7 and aft > 0.023) or (adt > 8 and aft > 0.021)) and tlod > 9 and nlod > 9 and ecnt < 3 {_a2})) as at2,
             case impact when 'LOW' then 1 when 'MODIFIER' then 2 when 'MODERATE' then 3 when 'HIGH' then 4 end as ir from f),
           b as (select id, pid, max(row(ir, tlod, var_id)) as best from o where pid is not null group by 1, 2),
-          s as (select case when adn is null then not data_to and not anno_to else not dt2 and not at2 end as e, impact not in ('HIGH', 'MODERATE') as c, art or ecnt >= 10 as x, coalesce(o.var_id <> struct_extract_at(b.best, 3), false) as p from o left join b on b.id = o.id and b.pid = o.pid)
-          select concat_ws(';', case when e then 'evidence' end, case when c then 'consequence' end, case when x then 'artifact' end, case when p then 'phase' end) as triage, count(*) as n from s group by 1"""
+          s as (select o.id, o.var_id, case when adn is null then not data_to and not anno_to else not dt2 and not at2 end as e, impact not in ('HIGH', 'MODERATE') as c, art or ecnt >= 10 as x, coalesce(o.var_id <> struct_extract_at(b.best, 3), false) as p from o left join b on b.id = o.id and b.pid = o.pid)
+          select id, var_id, concat_ws(';', case when e then 'evidence' end, case when c then 'consequence' end, case when x then 'artifact' end, case when p then 'phase' end) as triage from s"""
     else:
         _sql = None
     query(f"rule_set_{_name}", _sql, ("variant", "gene"))(_run)
