@@ -75,4 +75,4 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_bpe, op2_line_rules, op3_html, op4_suffix_dedup, op5_decontaminate, op6_chat, op7_quality, op8_language, op9_simhash, op10_pii)}
 
-ORACLES: dict[str, str] = {"op2_line_rules": linefreq.ORACLE, "op5_decontaminate": decontaminate.ORACLE, "op6_chat": chat.oracle()}
+ORACLES: dict[str, str] = {"op2_line_rules": linefreq.ORACLE, "op4_suffix_dedup": suffixes.ORACLE, "op5_decontaminate": decontaminate.ORACLE, "op6_chat": chat.oracle()}

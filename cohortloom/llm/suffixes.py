@@ -367,3 +367,17 @@ def dedup(df: DataFrame, text: str = "text", doc_id: str = "doc_id", length: int
         "kept": F.when(F.col(gone).isNull(), raw).otherwise(kept),
     }
     return add(out, results).drop(a, b, gone, stays)
+
+
+#: The contract in DuckDB: every 400-byte string of every text, counted by its digest.
+ORACLE = r"""
+with d as (select doc_id, row_number() over () r, encode(coalesce(text, '')) b from documents),
+s as (select r, unnest(range(1, octet_length(b) - 398)) i, b from d where octet_length(b) >= 400),
+h as (select r, i, md5(b[i:i + 399]) k from s),
+rep as (select r, i from (select r, i, count(*) over (partition by k) c from h) where c > 1),
+st as (select r, i, case when i > lag(i) over (partition by r order by i) + 400 or lag(i) over (partition by r order by i) is null then 1 else 0 end o from rep),
+g as (select r, min(i) a, max(i) + 399 e from (select *, sum(o) over (partition by r order by i) n from st) group by r, n),
+z as (select r, a, e, coalesce(lag(e) over (partition by r order by a), 0) pe, row_number() over (partition by r order by a desc) last from g),
+k as (select d.r, string_agg(hex(b[pe + 1:a - 1]), '' order by a) || max(case when last = 1 then hex(b[e + 1:octet_length(b)]) end) kept, sum(e - a + 1) n_removed, count(*) n_spans from z join d on d.r = z.r group by d.r)
+select doc_id, octet_length(b) n_bytes, cast(coalesce(n_removed, 0) as bigint) n_removed, coalesce(n_spans, 0) n_spans, sha256(case when kept is null then b else unhex(kept) end) kept_sha256 from d left join k on k.r = d.r
+"""
