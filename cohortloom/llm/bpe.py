@@ -35,7 +35,7 @@ NEVER = 1 << 40
 #: A vocabulary is a bounded object (a few MB); a larger file than this is refused rather than broadcast.
 MAX_TOKENS = 2_000_000
 #: Entries a worker remembers before it starts anew: (piece -> ids) and (token, token) -> may follow.
-MEMO = 250_000
+MEMO = 120_000
 
 FIELDS = StructType([StructField("n_tokens", LongType()), StructField("ids_packed", BinaryType()), StructField("decoded", StringType())])
 
@@ -215,8 +215,8 @@ class Automaton:
         return all(self.arc(a, b) for a, b in pairwise(ids))
 
 
-@lru_cache(maxsize=2)
-def _compiled(broadcast_id: int, handle) -> Automaton:  # one per worker process, kept between tasks
+@lru_cache(maxsize=1)
+def _compiled(broadcast_id: int, handle) -> Automaton:  # one per worker process, kept between tasks until another tokenizer or session takes its place
     v = handle.value
     return Automaton(v["labels"], v["merges"], v["special"])
 

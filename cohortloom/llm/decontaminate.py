@@ -18,7 +18,7 @@ from cohortloom.llm.automaton import Shared, SuffixAutomaton
 from cohortloom.llm.common import add_struct, prepare
 
 #: Characters of test items that may be broadcast in all, and words of one automaton; more items make more automata.
-MAX_ITEM_CHARS, BLOCK_WORDS = 64_000_000, 200_000
+MAX_ITEM_CHARS, BLOCK_WORDS = 64_000_000, 100_000
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
@@ -124,7 +124,7 @@ def _without(text: str, spans: list[list[int]], at_least: int) -> str:
     return "".join(out) + text[at:]
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=4)
 def _items(shared: Shared, window: int) -> Items:
     return Items(shared.value, window)
 

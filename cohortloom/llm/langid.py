@@ -95,7 +95,7 @@ class Parser:
         return self.langs[order[0]], second / (best + second), counts
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _parser(shared: Shared) -> Parser:
     return Parser(shared.value)
 
