@@ -49,7 +49,11 @@ def extended_annotation(old: DataFrame, targets: DataFrame, excluded: DataFrame
 
 
 def stack_files(spark, paths: Sequence[str], target: str, version: str = "v3", append: bool = False) -> CohortDataset:
-    """One cohort store from many stored datasets: every member is one read of all paths and one write."""
+    """One cohort store from many stored datasets: every member is one union and one write.
+
+    Paths are opened one by one, as their layouts may differ; thousands of small datasets are best
+    added in batches with ``append``.
+    """
     ds = CohortDataset.stack([CohortDataset.open(spark, p, version) for p in paths])
     ds.save(target, mode="append" if append else "errorifexists")
     return CohortDataset.open(spark, target, version)
