@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from cohortloom.llm.common import fresh, store
+from cohortloom.llm.common import fresh, row_key, store
 
 KINDS = ("email", "ip", "card", "phone")
 RESULTS = ("n_email", "n_ip", "n_card", "n_phone", "base_spans", "spans")
@@ -62,6 +62,11 @@ def candidates_of(text: Column) -> Column:
     return F.flatten(F.array(*[of(g, *x) for g, x in enumerate(GENERATORS)]))
 
 
+def _may_hold(text: Column) -> Column:
+    """A test that every text with a candidate passes: each generator asks for a digit, an @ or a bracketed "at"."""
+    return F.coalesce(text.rlike("[0-9@]|(?i)[(\\[{]at[)\\]}]"), F.lit(False))
+
+
 def _luhn(digits: Column) -> Column:
     """Do the digits pass, the last one being the check digit?"""
     back = F.reverse(digits)
@@ -181,9 +186,11 @@ def find(df: DataFrame, text: str = "text", precision: float = 0.9, keep_text: b
     tables give empty results; input columns named like the results give way.  Without ``keep_text`` the text is dropped.
     """
     columns = [c for c in df.columns if c.lower() not in {*RESULTS, "redacted"} and (keep_text or c != text)]
-    row, own = fresh(df.columns, "row"), fresh(df.columns, "in")
-    rows = store(df.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias(own), candidates_of(F.col(f"`{text}`")).alias("found"), F.monotonically_increasing_id().alias(row)))
-    each = rows.filter(F.size("found") > 0).select(F.col(row).alias("r"), F.inline("found"))
+    own, source = fresh(df.columns, "in"), F.col(f"`{text}`")
+    # Candidates go by the row's key, so neither texts nor row numbers are stored; equal rows share theirs.
+    keys = row_key(F.struct(*[F.col(f"`{c}`") for c in columns if c != text]).cast("string") if set(columns) - {text} else F.lit(""), source)
+    found = df.filter(_may_hold(source)).select(keys[0].alias("k1"), keys[1].alias("k2"), F.inline(candidates_of(source)))
+    each = store(found).dropDuplicates(["k1", "k2", "g", "i"]).withColumn("r", F.struct("k1", "k2"))
     order = Window.partitionBy("r", "g").orderBy("i")
     placed = each.withColumn("end", F.sum(F.col("gap") + F.col("len")).over(order.rowsBetween(Window.unboundedPreceding, 0))).withColumn("start", F.col("end") - F.col("len"))
     known = store(describe(placed).select("r", "start", "end", "kind", "base", "ok", *[f"f_{f}" for f in FEATURES[1:]]))
@@ -208,20 +215,25 @@ def find(df: DataFrame, text: str = "text", precision: float = 0.9, keep_text: b
     span = F.struct("start", F.col("kind").alias("k"), "end")
     counts = [F.sum(((F.col("kind") == k) & (F.col("b") == 1)).cast("long")).alias(f"n_{name}") for k, name in enumerate(KINDS)]
     per_row = spans.groupBy("r").agg(*counts, F.sort_array(F.collect_list(F.when(F.col("b") == 1, span))).alias("base_spans"), F.sort_array(F.collect_list(span)).alias("spans"))
-    out = rows.join(per_row, F.col(row) == F.col("r"), "left").drop("r")
+    per_row = per_row.select(F.col("r.k1").alias("a1"), F.col("r.k2").alias("a2"), *per_row.columns[1:])
+    # Only texts that may hold a candidate are joined; the others go on as they are.
+    wide = df.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias(own), source.alias("t"), keys[0].alias("k1"), keys[1].alias("k2"), _may_hold(source).alias("may"))
+    some = wide.filter("may").join(per_row, (F.col("k1") == F.col("a1")) & (F.col("k2") == F.col("a2")), "left").drop("a1", "a2")
     empty = F.array().cast("array<struct<start:bigint,k:int,end:bigint>>")
     results = {**{f"n_{k}": F.coalesce(f"n_{k}", F.lit(0)) for k in KINDS}, "base_spans": F.coalesce(F.col("base_spans"), empty), "spans": F.coalesce(F.col("spans"), empty)}
     if keep_text:
         runs = spans.groupBy("r", "run").agg(F.min("start").alias("s"), F.max("end").alias("e"), F.min(F.struct("start", "kind")).getField("kind").alias("k"))
-        runs = runs.groupBy("r").agg(F.sort_array(F.collect_list(F.struct("s", "e", "k"))).alias("runs"))
-        out = out.join(runs, F.col(row) == F.col("r"), "left")
-        t, names = F.col(f"{own}.`{text}`"), F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
+        runs = runs.groupBy("r").agg(F.sort_array(F.collect_list(F.struct("s", "e", "k"))).alias("runs")).select(F.col("r.k1").alias("b1"), F.col("r.k2").alias("b2"), "runs")
+        some = some.join(runs, (F.col("k1") == F.col("b1")) & (F.col("k2") == F.col("b2")), "left").drop("b1", "b2")
+        t, names = F.col("t"), F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
         def piece(v: Column, i: Column) -> Column:
             back = F.coalesce(F.get(F.col("runs"), i - 1).getField("e"), F.lit(0))
             return F.concat(F.substring(t, (back + 1).cast("int"), (v["s"] - back).cast("int")), names[v["k"]])
 
         tail = F.substring(t, (F.element_at("runs", -1).getField("e") + 1).cast("int"), F.length(t))
         results["redacted"] = F.when(F.col("runs").isNull(), t).otherwise(F.concat(F.array_join(F.transform("runs", piece), ""), tail))
+    rest = wide.filter("not may")
+    out = some.unionByName(rest, allowMissingColumns=True)
     final = out.select(F.col(own), *[v.alias(k) for k, v in results.items()])
     return final.select(*[F.col(f"{own}.`{c}`").alias(c) for c in columns], *results)
 
