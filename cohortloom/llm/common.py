@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cohortloom.session import cut_lineage
@@ -56,3 +56,21 @@ def row_key(doc_id: Column, text: Column) -> list[Column]:
     Repeated rows share a key, and every operator gives equal rows equal results.
     """
     return [F.xxhash64(F.lit(salt), doc_id.isNull(), doc_id.cast("string"), text) for salt in ("a", "b")]
+
+
+def ranked(df: DataFrame, group: list[str], order: list[str], into: str) -> DataFrame:
+    """Stored rows with ``into``, their place (from 0) in their group by ``order``; NULLs are first and a group of their own.
+
+    The rows are sorted by ranges of (group, order), so a hot group is spread over many tasks; what is counted together is
+    one row for each group and range.  Rows that tie are equal in ``order`` and stand next to each other in any order.
+    """
+    seq, part, first, before = (fresh([*df.columns, into], n) for n in ("seq", "part", "first", "before"))
+    by = [F.col(c).asc_nulls_first() for c in [*group, *order]]
+    rows = store(df.repartitionByRange(*by).sortWithinPartitions(*by).withColumn(seq, F.monotonically_increasing_id()))
+    rows = rows.withColumn(part, F.shiftright(seq, 33))
+    parts = rows.groupBy(*group, part).agg(F.min(seq).alias(first), F.count("*").alias("n"))
+    earlier = Window.partitionBy(*group).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    starts = parts.select(*[F.col(c).alias(f"{before}{i}") for i, c in enumerate(group)], F.col(part).alias(f"{before}p"), (F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col(first)).alias(before))
+    same = [F.col(c).eqNullSafe(F.col(f"{before}{i}")) for i, c in enumerate(group)]
+    out = rows.join(starts, [*same, F.col(part) == F.col(f"{before}p")])
+    return out.select(*df.columns, (F.col(seq) + F.col(before)).alias(into))

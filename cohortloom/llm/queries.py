@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from string import ascii_lowercase, ascii_uppercase
+
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import bpe, chat, decontaminate, langid, linefreq, pii, quality, simhash, suffixes, wrapper
+from cohortloom.llm import bpe, chat, decontaminate, langid, lattice, linefreq, merkle, pii, quality, simhash, suffixes, wrapper
 from cohortloom.llm.common import read
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def documents(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
@@ -73,6 +76,22 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", base, pii.as_text(F.col("spans")).alias("spans"))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_line_rules, op3_html, op4_suffix_dedup, op5_decontaminate, op6_chat, op7_quality, op8_language, op9_simhash, op10_pii)}
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    meta, text = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")], F.col("text")
+    lowered = merkle.leaf(*meta, F.translate(text, ascii_uppercase, ascii_lowercase))
+    start = F.when(fold(5) == 0, lowered)  # NULL where nothing is tampered with
+    made = merkle.manifest(docs, merkle.leaf(*meta, text), carry={"doc_id": F.col("doc_id"), "start": start})
+    folded = made.select("doc_id", "leaf", "subroot", "root", merkle.siblings_digest(F.col("path")).alias("proof_sha256"), merkle.fold(F.coalesce("start", "leaf"), F.col("path")).alias("folded_root"))
+    return folded.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op13_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    learn = fold(5) != 1
+    made = lattice.score(documents(spark, sf_dir), learn, PIECES, keep_text=False)
+    return made.select("doc_id", (fold(5) == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_line_rules, op3_html, op4_suffix_dedup, op5_decontaminate, op6_chat, op7_quality, op8_language, op9_simhash, op10_pii, op12_merkle, op13_lattice)}
 
-ORACLES: dict[str, str] = {"op2_line_rules": linefreq.ORACLE, "op4_suffix_dedup": suffixes.ORACLE, "op5_decontaminate": decontaminate.ORACLE, "op6_chat": chat.oracle()}
+ORACLES: dict[str, str] = {"op2_line_rules": linefreq.ORACLE, "op4_suffix_dedup": suffixes.ORACLE, "op5_decontaminate": decontaminate.ORACLE, "op6_chat": chat.oracle(), "op12_merkle": merkle.oracle()}
