@@ -15,7 +15,9 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,6 +31,8 @@ FREQUENT = 100_000
 COUNTED = 200_000
 #: Weight, in pieces, of the prior against the expected counts.
 PRIOR_WEIGHT = 1000.0
+#: Characters (with the start mark) up to which words go many at once, and how many at once.
+SHORT, TOGETHER = 24, 4096
 START, END = "▁", b""
 
 RESULTS = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
@@ -40,7 +44,7 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 def vocabulary(path: str) -> dict[str, float]:
-    """Log prior of the pieces: 1 / (rank + 1), normalised; the byte pieces stand after the last rank.  Control pieces and those ranked out are left out."""
+    """Log prior of the pieces: 1 / (rank + 1), normalised; the byte pieces, and the start mark if it has no rank, stand after the last.  Control pieces and those ranked out are left out."""
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     ranks, raw = {}, []
     for i in range(model.vocab_size()):
@@ -49,62 +53,135 @@ def vocabulary(path: str) -> dict[str, float]:
         elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)) and model.get_score(i) > -1e8:
             ranks[model.id_to_piece(i)] = -model.get_score(i)
     last = max(ranks.values(), default=0.0)
-    weights = {p: 1 / (r + 1) for p, r in ranks.items()} | {p: 1 / (last + 2) for p in raw}
+    ranks |= {p: last + 1 for p in [*raw, START] if p not in ranks}
+    weights = {p: 1 / (r + 1) for p, r in ranks.items()}
     total = math.fsum(weights.values())
     return {p: math.log(w / total) for p, w in weights.items()}
 
 
 class Lattice:
-    """Arcs of words under log weights of pieces; a character without a piece is the run of its bytes."""
+    """Segmentations of words under log weights of pieces; a character without a piece is the run of its bytes.
+
+    Words of up to SHORT characters go by length, many at once: one lookup for all their substrings, then the recursion
+    over positions on whole columns.  Longer words, and those with a character that has no piece, go one by one.
+    """
 
     def __init__(self, logp: dict[str, float]):
-        self.logp = logp
+        self.logp, self.pieces = logp, list(logp)
+        self.place = {p: i for i, p in enumerate(self.pieces)}
+        self.known = pa.array(self.pieces, pa.string())
+        self.weights = np.array([*logp.values(), -np.inf])  # the last is that of no piece
         self.longest = max(map(len, logp), default=1)
 
-    def bytes_of(self, char: str) -> list[str]:
+    def _bytes(self, char: str) -> list[str]:
         return [f"<0x{b:02X}>" for b in char.encode("utf-8", "surrogatepass")]
 
-    def arcs(self, s: str, i: int) -> list[tuple[int, float]]:
+    def _arcs(self, s: str, i: int) -> list[tuple[int, float]]:
         """(end, log weight) of the pieces that start at i."""
         get = self.logp.get
         out = [(j, w) for j in range(i + 1, min(len(s), i + self.longest) + 1) if (w := get(s[i:j])) is not None]
         if not out or out[0][0] != i + 1:
-            out.append((i + 1, sum(self.logp[b] for b in self.bytes_of(s[i]))))
+            out.append((i + 1, sum(self.logp[b] for b in self._bytes(s[i]))))
         return out
 
-    def forward(self, s: str) -> list[float]:
+    def _forward(self, s: str) -> list[float]:
         """Log of the summed weight of all segmentations of every prefix."""
         waiting: list[list[float]] = [[] for _ in range(len(s) + 1)]
         waiting[0].append(0.0)
         alpha = []
         for i in range(len(s) + 1):
-            terms = waiting[i]
-            top = max(terms)
-            a = top if len(terms) == 1 else top + math.log(sum([math.exp(t - top) for t in terms]))
-            alpha.append(a)
+            alpha.append(_log_sum(waiting[i]))
             if i < len(s):
-                for j, w in self.arcs(s, i):
-                    waiting[j].append(a + w)
+                for j, w in self._arcs(s, i):
+                    waiting[j].append(alpha[i] + w)
             waiting[i] = []
         return alpha
 
-    def marginal(self, word: bytes) -> float:
-        return self.forward(START + word.decode("utf-8", "surrogatepass"))[-1]
-
-    def expected(self, word: bytes, times: float, into: dict[str, float]) -> None:
-        """Add the expected number of uses of each piece in ``times`` copies of a word."""
-        s = START + word.decode("utf-8", "surrogatepass")
-        alpha = self.forward(s)
-        total, beta = alpha[-1], [0.0] * (len(s) + 1)
+    def _expected(self, s: str, times: float, into: np.ndarray) -> None:
+        alpha, beta = self._forward(s), [0.0] * (len(s) + 1)
         for i in range(len(s) - 1, -1, -1):
-            terms = [(j, w, w + beta[j]) for j, w in self.arcs(s, i)]
-            top = max(t for _, _, t in terms)
-            beta[i] = top + math.log(sum([math.exp(t - top) for _, _, t in terms]))
-            for j, _, t in terms:
-                n = times * math.exp(alpha[i] + t - total)
-                piece = s[i:j]
-                for p in [piece] if piece in self.logp else self.bytes_of(piece):
-                    into[p] = into.get(p, 0.0) + n
+            terms = [(j, w + beta[j]) for j, w in self._arcs(s, i)]
+            beta[i] = _log_sum([t for _, t in terms])
+            for j, t in terms:
+                for p in [s[i:j]] if s[i:j] in self.place else self._bytes(s[i]):
+                    into[self.place[p]] += times * math.exp(alpha[i] + t - alpha[-1])
+
+    def _groups(self, words: list[str]) -> Iterator[tuple[np.ndarray, int, dict[tuple[int, int], np.ndarray]]]:
+        """Words of one length, and for each pair of positions the pieces that stand there (the last index: none)."""
+        sizes = np.array([len(w) for w in words])
+        found, asked = [], []
+        for n in sorted(set(sizes[sizes <= SHORT].tolist())):
+            at = np.flatnonzero(sizes == n)
+            group = pa.array([words[k] for k in at], pa.string())
+            spans = [(i, j) for i in range(n) for j in range(i + 1, min(n, i + self.longest) + 1)]
+            found.append((at, n, spans))
+            asked += [pc.utf8_slice_codeunits(group, i, j) for i, j in spans]
+        if not asked:
+            return
+        ids = pc.index_in(pa.concat_arrays(asked), value_set=self.known).fill_null(len(self.pieces)).to_numpy()
+        start = 0
+        for at, n, spans in found:
+            stop = start + len(at) * len(spans)
+            yield at, n, dict(zip(spans, ids[start:stop].reshape(len(spans), len(at)), strict=True))
+            start = stop
+
+    def _tables(self, n: int, arcs: dict[tuple[int, int], np.ndarray]) -> np.ndarray:
+        """Log of the summed weight of all segmentations of every prefix, for words of one length."""
+        alpha = np.zeros((n + 1, len(arcs[0, 1])))
+        for j in range(1, n + 1):
+            alpha[j] = np.logaddexp.reduce([alpha[i] + self.weights[arcs[i, j]] for i in range(max(0, j - self.longest), j)], axis=0)
+        return alpha
+
+    def _split(self, words: list[bytes]) -> tuple[list[str], np.ndarray]:
+        """The words with their start mark, and which must go one by one."""
+        strings = [START + w.decode("utf-8", "surrogatepass") for w in words]
+        return strings, np.array([len(s) > SHORT or any(c not in self.place for c in s) for s in strings], dtype=bool)
+
+    def marginals(self, words: list[bytes]) -> np.ndarray:
+        """Log probability of each word, summed over its segmentations."""
+        strings, alone = self._split(words)
+        out = np.zeros(len(words))
+        many = np.flatnonzero(~alone)
+        for at, n, arcs in self._groups([strings[k] for k in many]):
+            out[many[at]] = self._tables(n, arcs)[n]
+        for k in np.flatnonzero(alone):
+            out[k] = self._forward(strings[k])[-1]
+        return out
+
+    def expect(self, words: list[bytes], times: list[int], into: np.ndarray) -> None:
+        """Add the expected uses of each piece in so many copies of each word."""
+        strings, alone = self._split(words)
+        counts = np.array(times, dtype=float)
+        many = np.flatnonzero(~alone)
+        for at, n, arcs in self._groups([strings[k] for k in many]):
+            alpha, c = self._tables(n, arcs), counts[many[at]]
+            beta = np.zeros_like(alpha)
+            for i in range(n - 1, -1, -1):
+                ends = range(i + 1, min(n, i + self.longest) + 1)
+                terms = np.array([self.weights[arcs[i, j]] + beta[j] for j in ends])
+                beta[i] = np.logaddexp.reduce(terms, axis=0)
+                uses = c * np.exp(alpha[i] + terms - alpha[n])
+                for j, u in zip(ends, uses, strict=True):
+                    into += np.bincount(arcs[i, j], u, len(into))
+        for k in np.flatnonzero(alone):
+            self._expected(strings[k], counts[k], into)
+
+
+def _log_sum(terms: list[float]) -> float:
+    top = max(terms)
+    return top if len(terms) == 1 else top + math.log(sum([math.exp(t - top) for t in terms]))
+
+
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of TOGETHER rows or more, but for the last."""
+    waiting: list[pa.RecordBatch] = []
+    for batch in batches:
+        waiting.append(batch)
+        if sum(b.num_rows for b in waiting) >= TOGETHER:
+            yield pa.Table.from_batches(waiting).combine_chunks().to_batches()[0]
+            waiting = []
+    if sum(b.num_rows for b in waiting):
+        yield pa.Table.from_batches(waiting).combine_chunks().to_batches()[0]
 
 
 def _counts(texts: DataFrame) -> DataFrame:
@@ -141,11 +218,11 @@ def learn_pieces(words: DataFrame, prior: dict[str, float], rounds: int) -> dict
         shared = words.sparkSession.sparkContext.broadcast(logp)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            lattice, into = Lattice(shared.value), {}
-            for batch in batches:
-                for word, c in zip(batch.column(0), batch.column(1), strict=True):
-                    lattice.expected(word.as_py(), c.as_py(), into)
-            yield pa.record_batch([pa.array(list(into), pa.string()), pa.array(list(into.values()), pa.float64())], ["piece", "n"])
+            lattice = Lattice(shared.value)
+            into = np.zeros(len(lattice.weights))
+            for batch in _gathered(batches):
+                lattice.expect(batch.column(0).to_pylist(), batch.column(1).to_pylist(), into)
+            yield pa.record_batch([lattice.known, pa.array(into[:-1])], ["piece", "n"])
 
         made = words.filter((F.col("c") > 0) & (F.col("word") != F.lit(END))).select("word", "c").mapInArrow(run, "piece string, n double").groupBy("piece").agg(F.sum("n").alias("n"))
         counts = {r.piece: r.n for r in made.collect()}
@@ -163,9 +240,10 @@ def _scored(words: DataFrame, logp: dict[str, float]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = Lattice({p: w for p, w in shared.value.items() if p})
-        for batch in batches:
-            lp = [(lattice.marginal(w) if w else shared.value[""]) / math.log(10) for w in batch.column(0).to_pylist()]
-            yield pa.record_batch([*batch.columns, pa.array(lp, pa.float64())], ["word", "n", "c", "lp"])
+        for batch in _gathered(batches):
+            words = batch.column(0).to_pylist()
+            lp = np.where([w == END for w in words], shared.value[""], lattice.marginals(words)) / math.log(10)
+            yield pa.record_batch([*batch.columns, pa.array(lp)], ["word", "n", "c", "lp"])
 
     return words.mapInArrow(run, "word binary, n long, c long, lp double")
 
@@ -183,7 +261,7 @@ def _threshold(words: DataFrame, most: int) -> int:
     return low
 
 
-def score(df: DataFrame, learn: Column, vocabulary_path: str, text: str = "text", rounds: int = 1, frequent: int = FREQUENT, keep_text: bool = True) -> DataFrame:
+def score(df: DataFrame, learn: Column, vocabulary_path: str, text: str = "text", rounds: int = 2, frequent: int = FREQUENT, keep_text: bool = True) -> DataFrame:
     """Every row with RESULTS, learning from the rows where ``learn`` holds (NULL: no).
 
     Tokens are words and one end for each text.  n_known counts tokens that are in the training tokens, train_tokens all
