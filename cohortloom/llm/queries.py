@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import bpe, chat, decontaminate, langid, lattice, linefreq, merkle, pii, quality, simhash, suffixes, wrapper
+from cohortloom.llm import bpe, chat, decontaminate, langid, lattice, linefreq, merkle, pii, prefixtrie, quality, simhash, suffixes, wrapper
 from cohortloom.llm.common import read
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -76,6 +76,13 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", base, pii.as_text(F.col("spans")).alias("spans"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefixtrie.turns_of(read(spark, sf_dir, "conversations"))
+    conv = F.col("conv")
+    own = F.crc32(conv.cast("string").cast("binary")) % 4
+    return prefixtrie.trie(prefixtrie.rebuilt(turns, own, conv - conv % 20, 3))
+
+
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     meta, text = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")], F.col("text")
@@ -92,6 +99,6 @@ def op13_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", (fold(5) == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_line_rules, op3_html, op4_suffix_dedup, op5_decontaminate, op6_chat, op7_quality, op8_language, op9_simhash, op10_pii, op12_merkle, op13_lattice)}
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_line_rules, op3_html, op4_suffix_dedup, op5_decontaminate, op6_chat, op7_quality, op8_language, op9_simhash, op10_pii, op11_prefix_trie, op12_merkle, op13_lattice)}
 
-ORACLES: dict[str, str] = {"op2_line_rules": linefreq.ORACLE, "op4_suffix_dedup": suffixes.ORACLE, "op5_decontaminate": decontaminate.ORACLE, "op6_chat": chat.oracle(), "op12_merkle": merkle.oracle()}
+ORACLES: dict[str, str] = {"op2_line_rules": linefreq.ORACLE, "op4_suffix_dedup": suffixes.ORACLE, "op5_decontaminate": decontaminate.ORACLE, "op6_chat": chat.oracle(), "op11_prefix_trie": prefixtrie.oracle(), "op12_merkle": merkle.oracle()}
