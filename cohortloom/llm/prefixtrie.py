@@ -332,9 +332,9 @@ def trie(turns: DataFrame, block: int = BLOCK, salts: int = 16) -> DataFrame:
 
     nodes = parts.filter("kind = 'node'")
     closed = nodes.filter("NOT open").select("id", "parent", "parent_low", "level", "depth", "low", *SUMS)
-    found = nodes.filter("open").select("id", "parent", "cls", "level", "depth", "low", *SUMS)
-    fixes = _corrections(parts).select("id", F.lit(None).cast("binary").alias("parent"), F.lit(None).cast("binary").alias("cls"), F.lit(None).cast("long").alias("level"), F.lit(None).cast("long").alias("depth"), F.lit(None).cast("long").alias("low"), *SUMS)
-    merged = found.unionByName(fixes).groupBy("id").agg(F.max("parent").alias("parent"), F.max("cls").alias("cls"), F.max("level").alias("level"), F.max("depth").alias("depth"), F.min("low").alias("low"), *[F.sum(c).alias(c) for c in SUMS])
+    found = nodes.filter("open").select("id", "parent", "parent_low", "cls", "level", "depth", "low", *SUMS)
+    fixes = _corrections(parts).select("id", F.lit(None).cast("binary").alias("parent"), F.lit(None).cast("long").alias("parent_low"), F.lit(None).cast("binary").alias("cls"), F.lit(None).cast("long").alias("level"), F.lit(None).cast("long").alias("depth"), F.lit(None).cast("long").alias("low"), *SUMS)
+    merged = found.unionByName(fixes).groupBy("id").agg(F.max("parent").alias("parent"), F.max("parent_low").alias("parent_low"), F.max("cls").alias("cls"), F.max("level").alias("level"), F.max("depth").alias("depth"), F.min("low").alias("low"), *[F.sum(c).alias(c) for c in SUMS])
     opened = store(merged)
     links = parts.filter("kind = 'link'")
     if links.limit(1).count():  # there are conversations of several blocks
@@ -352,10 +352,10 @@ def trie(turns: DataFrame, block: int = BLOCK, salts: int = 16) -> DataFrame:
         closed = completed(closed)
     else:
         opened = opened.withColumn("root", F.lit(None).cast("binary"))
-    # A closed node whose parent is open has its parent's smallest member from the (few) open nodes; copies spread a hot parent.
+    # A node whose parent is open has its parent's smallest member from the (few) open nodes; copies spread a hot parent.
     lows = opened.select(F.col("id").alias("parent"), F.col("low").alias("found")).unionByName(opened.filter("root IS NOT NULL").select(F.col("root").alias("parent"), F.col("low").alias("found")))
     spread = lows.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    every = closed.unionByName(opened.withColumn("parent_low", F.lit(None).cast("long")).select(*closed.columns))
+    every = closed.unionByName(opened.select(*closed.columns))
     named = every.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int"))
     sure = named.filter("parent_low IS NOT NULL OR parent IS NULL").drop("salt")
     asked = named.filter("parent_low IS NULL AND parent IS NOT NULL").join(spread, ["parent", "salt"]).withColumn("parent_low", F.col("found")).select(*sure.columns)
