@@ -32,7 +32,7 @@ COUNTED = 200_000
 #: Weight, in pieces, of the prior against the expected counts.
 PRIOR_WEIGHT = 1000.0
 #: Characters (with the start mark) up to which words go many at once, and how many at once.
-SHORT, TOGETHER = 24, 4096
+SHORT, TOGETHER = 24, 8192
 START, END = "▁", b""
 
 RESULTS = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
@@ -69,6 +69,7 @@ class Lattice:
     def __init__(self, logp: dict[str, float]):
         self.logp, self.pieces = logp, list(logp)
         self.place = {p: i for i, p in enumerate(self.pieces)}
+        self.single = {p for p in self.pieces if len(p) == 1}
         self.known = pa.array(self.pieces, pa.string())
         self.weights = np.array([*logp.values(), -np.inf])  # the last is that of no piece
         self.longest = max(map(len, logp), default=1)
@@ -129,13 +130,13 @@ class Lattice:
         """Log of the summed weight of all segmentations of every prefix, for words of one length."""
         alpha = np.zeros((n + 1, len(arcs[0, 1])))
         for j in range(1, n + 1):
-            alpha[j] = np.logaddexp.reduce([alpha[i] + self.weights[arcs[i, j]] for i in range(max(0, j - self.longest), j)], axis=0)
+            alpha[j] = _log_sums(np.array([alpha[i] + self.weights[arcs[i, j]] for i in range(max(0, j - self.longest), j)]))
         return alpha
 
     def _split(self, words: list[bytes]) -> tuple[list[str], np.ndarray]:
         """The words with their start mark, and which must go one by one."""
         strings = [START + w.decode("utf-8", "surrogatepass") for w in words]
-        return strings, np.array([len(s) > SHORT or any(c not in self.place for c in s) for s in strings], dtype=bool)
+        return strings, np.array([len(s) > SHORT or not self.single.issuperset(s) for s in strings], dtype=bool)
 
     def marginals(self, words: list[bytes]) -> np.ndarray:
         """Log probability of each word, summed over its segmentations."""
@@ -153,16 +154,18 @@ class Lattice:
         strings, alone = self._split(words)
         counts = np.array(times, dtype=float)
         many = np.flatnonzero(~alone)
+        ids, uses = [], []
         for at, n, arcs in self._groups([strings[k] for k in many]):
             alpha, c = self._tables(n, arcs), counts[many[at]]
             beta = np.zeros_like(alpha)
             for i in range(n - 1, -1, -1):
                 ends = range(i + 1, min(n, i + self.longest) + 1)
                 terms = np.array([self.weights[arcs[i, j]] + beta[j] for j in ends])
-                beta[i] = np.logaddexp.reduce(terms, axis=0)
-                uses = c * np.exp(alpha[i] + terms - alpha[n])
-                for j, u in zip(ends, uses, strict=True):
-                    into += np.bincount(arcs[i, j], u, len(into))
+                beta[i] = _log_sums(terms)
+                uses += list(c * np.exp(terms + (alpha[i] - alpha[n])))
+                ids += [arcs[i, j] for j in ends]
+        if ids:
+            into += np.bincount(np.concatenate(ids), np.concatenate(uses), len(into))
         for k in np.flatnonzero(alone):
             self._expected(strings[k], counts[k], into)
 
@@ -172,6 +175,11 @@ def _log_sum(terms: list[float]) -> float:
     return top if len(terms) == 1 else top + math.log(sum([math.exp(t - top) for t in terms]))
 
 
+def _log_sums(terms: np.ndarray) -> np.ndarray:
+    top = terms.max(axis=0)
+    return top + np.log(np.exp(terms - top).sum(axis=0))
+
+
 def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Batches of TOGETHER rows or more, but for the last."""
     waiting: list[pa.RecordBatch] = []

@@ -67,3 +67,21 @@ def test_band_keys_meet():
         x, y = set(nearcopies.shingles_of(a).tolist()), set(nearcopies.shingles_of(b).tolist())
         if similar(x, y):
             assert set(nearcopies.sketch_of(a)[3]) & set(nearcopies.sketch_of(b)[3])
+
+
+def test_rare_pairs_of_a_hot_group(spark):
+    """Every pair of 0.8 or more meets; texts that share three fifths with all others and no more meet hardly ever."""
+    r = random.Random(9)
+    common = [f"c{k}" for k in range(120)]
+    made = []
+    for n in range(120):
+        own = [f"o{n}x{k}" for k in range(60)]
+        made.append(" ".join(common + own))
+        if n % 10 == 0:
+            made.append(" ".join(common + own[:-2] + [f"e{n}"]))
+    r.shuffle(made)
+    sets = [set(nearcopies.shingles_of(t).tolist()) for t in made]
+    df = spark.createDataFrame([(i, i, [x if x < 1 << 63 else x - (1 << 64) for x in s]) for i, s in enumerate(sets)], "node long, component long, `set` array<long>")
+    got = {(p.src, p.dst) for p in nearcopies._rare_pairs(df).collect()}
+    wanted = {(i, j) for i, j in combinations(range(len(sets)), 2) if similar(sets[i], sets[j])}
+    assert len(wanted) >= 12 and wanted <= got and len(got) < 5 * len(wanted)
