@@ -5,15 +5,16 @@ for every byte.  The gadget of merge number i, (u, v) -> w, copies the state tha
 out of the copy, lets u lead to the copy, and gives every state that has the path u v an arc w to where v led.
 A path through the automaton is the tokenization of the string its labels spell, and every string has one.
 
-A state differs from the start only by the arcs cut out of it, so a state is its origin and one cut arc.
-Whether u may be followed by y is then read from the table of cuts: the states u inherited from are found down
-its right halves, the arcs y was made from down its left halves, and a cut counts if it was older than the
-token built on top of it.  Decoding emits the arc labels.
+A state differs from the one it was copied from by one cut arc, so a state is stored as its origin and that arc, and
+whether it has an arc is found by going back over origins (to before the arc) and over first halves (to before the
+state).  A word is walked by two tables: bytes lead through the labels to the longest arc, and (state, arc) leads to the
+next state; entries of the second are computed when first met.  Decoding emits the arc labels.
 """
 
 from __future__ import annotations
 
 import json
+import re
 from array import array
 from functools import lru_cache
 from itertools import pairwise
@@ -31,11 +32,10 @@ from cohortloom.llm.common import add_struct, prepare
 # The published pattern of byte-level pre-splitting, and white space as its engine knows it.
 PRE_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 SPACE = "\\t-\\r\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-NEVER = 1 << 40
 #: A vocabulary is a bounded object (a few MB); a larger file than this is refused rather than broadcast.
 MAX_TOKENS = 2_000_000
-#: Entries a worker remembers before it starts anew: (piece -> ids) and (token, token) -> may follow.
-MEMO = 120_000
+#: Entries a worker remembers before it starts anew, some 200 bytes each: (piece -> ids), twice, and (state, token) -> state.
+MEMO = 500_000
 
 FIELDS = StructType([StructField("n_tokens", LongType()), StructField("ids_packed", BinaryType()), StructField("decoded", StringType())])
 
@@ -75,105 +75,123 @@ class Automaton:
     def __init__(self, labels: list[bytes], merges: np.ndarray, special: dict[str, int]):
         self.labels, self.special = labels, special
         n = len(labels)
-        self.left, self.right, self.born = [-1] * n, [-1] * n, [-1] * n
+        self.left, self.born = [-1] * n, [-1] * n
         #: state i + 1 is made by merge i: a copy of origin[i + 1] without the arc gone[i + 1]
         self.origin, self.gone = [0], [-1]
-        self.leads_to = [0] * n
-        self.cut: dict[int, int] = {}
+        self.leads_to = [0] * n  # the state that each token's arc ends in
         for i, (u, v, w) in enumerate(merges.tolist()):
             if self.born[w] >= 0:
                 raise ValueError("two merges make one token")
-            self.left[w], self.right[w], self.born[w] = u, v, i
+            self.left[w], self.born[w] = u, i
             self.leads_to[w] = self.leads_to[v]  # the new arc ends where v led
             self.origin.append(self.leads_to[u])
             self.gone.append(v)
             self.leads_to[u] = i + 1  # u now leads to the copy
-            self.cut[u * n + v] = i
         usable = {labels[i]: i for i in range(n) if self.born[i] >= 0 or (len(labels[i]) == 1 and labels[i] not in special)}
         self.ids = usable
-        self.longest = max(map(len, usable), default=1)
+        self.sizes = [len(x) for x in labels]
+        #: transitions over bytes, (node, byte) -> node, and the token whose label leads to a node
+        self.go: dict[int, int] = {}
+        self.accept = [-1]
+        for label, i in usable.items():
+            node = 0
+            for b in label:
+                node = self.go.setdefault(node << 8 | b, len(self.accept))
+                if node == len(self.accept):
+                    self.accept.append(-1)
+            self.accept[node] = i
         self.shorter = [-1] * n  # the longest token that is a proper prefix
         for label, i in usable.items():
             for k in range(len(label) - 1, 0, -1):
                 if (j := usable.get(label[:k])) is not None:
                     self.shorter[i] = j
                     break
-        self.follows: dict[int, bool] = {}
+        #: transitions over tokens, (state, token) -> state or -1, filled as they are met
+        self.table: dict[int, int] = {}
         self.whole: dict[int, bool] = {}
         self.pieces: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self._pre = regex.compile(PRE_SPLIT.replace(r"\S", f"[^{SPACE}]").replace(r"[^\s", f"[^{SPACE}").replace(r"\s", f"[{SPACE}]"))
         # No match of the pattern runs over the start of a word with its space, so this cut is safe to make first.
-        self._chunk = regex.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
+        self._chunk = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
         self._special = regex.compile("|".join(map(regex.escape, sorted(special, key=len, reverse=True)))) if special else None
 
     def walk(self, piece: bytes) -> list[int]:
-        """The one path that spells the piece: longest arc first, back off where no arc goes on."""
-        ids, labels, follows, n = self.ids, self.labels, self.follows, len(self.labels)
-        whole = ids.get(piece)
+        """The one path that spells the piece: the longest arc that the state has first, back off where none goes on."""
+        whole = self.ids.get(piece)
         if whole is not None and self.arc_is_whole(whole):
             return [whole]
+        go, accept, table, shorter, sizes, n = self.go, self.accept, self.table, self.shorter, self.sizes, len(self.labels)
         path: list[int] = []
-        end, pos, last, take = len(piece), 0, -1, -2
+        states = [0]
+        end, pos, take = len(piece), 0, -2
         dead = bytearray(end + 1)  # positions from which the end can't be reached
         while pos < end:
             if take == -2:
-                take = -1
-                for k in range(min(pos + self.longest, end), pos, -1):
-                    if (i := ids.get(piece[pos:k])) is not None:
-                        take = i
+                take, node = -1, 0
+                for k in range(pos, end):
+                    node = go.get(node << 8 | piece[k])
+                    if node is None:
                         break
+                    if accept[node] >= 0:
+                        take = accept[node]
+            at = states[-1] * n
             while take >= 0:
-                if not dead[pos + len(labels[take])]:
-                    if last < 0:
-                        break
-                    ok = follows.get(last * n + take)
-                    if ok if ok is not None else self.arc(last, take):
+                if not dead[pos + sizes[take]]:
+                    to = table.get(at + take)
+                    if to is None:
+                        to = self.step(states[-1], take)
+                    if to >= 0:
                         break
-                take = self.shorter[take]
+                take = shorter[take]
             if take >= 0:
                 path.append(take)
-                pos += len(labels[take])
-                last, take = take, -2
+                states.append(to)
+                pos += sizes[take]
+                take = -2
             else:
                 dead[pos] = 1
                 take = path.pop()  # never empty: every byte has an arc
-                pos -= len(labels[take])
-                last, take = path[-1] if path else -1, self.shorter[take]
+                states.pop()
+                pos -= sizes[take]
+                take = shorter[take]
         return path
 
     def arc_is_whole(self, token: int) -> bool:
         """Does the token's own label lead along this one arc? (So for every token made by merges in order.)"""
         got = self.whole.get(token)
         if got is None:
-            u, v = self.left[token], self.right[token]
-            got = u < 0 or (self.arc_is_whole(u) and self.arc_is_whole(v) and self._joined_at(u, v) == self.born[token])
+            i = self.born[token]
+            got = i < 0
+            if not got:
+                u, v = self.left[token], self.gone[i + 1]
+                # Merge i took v out of the state it copied, so the path u v was there till then.
+                got = self.arc_is_whole(u) and self.arc_is_whole(v) and self.has(self.origin[i + 1], v)
             self.whole[token] = got
         return got
 
-    def _joined_at(self, u: int, y: int) -> int:
-        """The first merge that cuts y after u, NEVER if none does."""
-        n, first = len(self.labels), NEVER
-        x, x_until = u, NEVER
-        while x >= 0:
-            z, z_until = y, NEVER
-            while z >= 0:
-                i = self.cut.get(x * n + z)
-                if i is not None and i < x_until and i <= z_until:
-                    first = min(first, i)
-                z_until, z = self.born[z], self.left[z]
-            x_until, x = self.born[x], self.right[x]
-        return first
-
-    def arc(self, u: int, y: int) -> bool:
-        """Has the state that u leads to the arc y?"""
-        key = u * len(self.labels) + y
-        got = self.follows.get(key)
-        if got is None:
-            if len(self.follows) >= MEMO:
-                self.follows.clear()
-            got = self.follows[key] = self._joined_at(u, y) == NEVER
-        return got
+    def step(self, state: int, token: int) -> int:
+        """The state that a state's arc leads to, -1 if the arc was cut; remembered in the table."""
+        if len(self.table) >= MEMO:
+            self.table.clear()
+        to = self.table[state * len(self.labels) + token] = self.leads_to[token] if self.has(state, token) else -1
+        return to
+
+    def has(self, state: int, y: int) -> bool:
+        """Has a state the arc y?
+
+        An arc older than the state is there if the copied state had it and the copy kept it; a younger one, made by a
+        merge of two arcs, is there if its first half is.
+        """
+        origin, gone, born, left = self.origin, self.gone, self.born, self.left
+        while state:
+            if born[y] < state - 1:
+                if gone[state] == y:
+                    return False
+                state = origin[state]
+            else:
+                y = left[y]
+        return True
 
     def packed(self, chunk: str) -> bytes:
         """Ids of one run of text up to a space; recent runs are remembered in two generations."""
@@ -212,7 +230,7 @@ class Automaton:
         return b"".join(map(self.labels.__getitem__, ids)).decode("utf-8", "replace")
 
     def accepts(self, ids: list[int]) -> bool:
-        return all(self.arc(a, b) for a, b in pairwise(ids))
+        return all(self.has(self.leads_to[a], b) for a, b in pairwise(ids))
 
 
 @lru_cache(maxsize=1)
