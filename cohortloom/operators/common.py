@@ -18,6 +18,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortloom.session import cut_lineage
+
 
 def null_safe(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
     return reduce(lambda a, b: a & b, [left[l].eqNullSafe(right[r]) for l, r in pairs])
@@ -175,3 +177,18 @@ def runs(
     marked = prev.withColumn("__new", F.when(first | flag, F.col(pos)))
     done = scan(marked, keys, pos, {out: ("last", F.col("__new"))}, chunk=chunk)
     return done.drop("__new", *[f"__p_{c}" for c in same_as_previous])
+
+
+def numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "n") -> DataFrame:
+    """Stored rows with their place (from 0) inside each key group in the given order, NULLs first.
+
+    The rows are sorted by ranges of (keys, order), so a group of any size is spread over many tasks; only one row per
+    group and range is counted together.  Rows that tie stand next to each other in any order.
+    """
+    by = [F.col(c).asc_nulls_first() for c in [*keys, *order]]
+    rows = cut_lineage(df.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("__seq", F.monotonically_increasing_id()))
+    rows = rows.withColumn("__part", F.shiftright("__seq", 33))
+    parts = rows.groupBy(*keys, "__part").agg(F.min("__seq").alias("__first"), F.count(F.lit(1)).alias("__n"))
+    earlier = Window.partitionBy(*keys).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = parts.select(*keys, "__part", (F.coalesce(F.sum("__n").over(earlier), F.lit(0)) - F.col("__first")).alias("__shift"))
+    return join_stats(rows, starts, [*keys, "__part"]).select(*df.columns, (F.col("__seq") + F.col("__shift")).alias(out))

@@ -1,6 +1,7 @@
 """Import every query module so that the registry is filled."""
 
 from queries import (  # noqa: F401
+    batch_queries,
     cohort_queries,
     fusion_queries,
     interval_queries,

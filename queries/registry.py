@@ -226,7 +226,8 @@ def query(name: str, sql: str | None = None, roles: tuple[str, ...] = ()):
             ctes = ", ".join(f'"{r}" as ({_swap(role_sql(r, chr(34)), _DUCK_TEXT)})' for r in roles)
             if ctes:
                 # A statement of its own WITH is joined to the role tables.
-                body = f"with {ctes}, {body[5:]}" if body.lower().startswith("with ") else f"with {ctes} {body}"
+                head = next((h for h in ("with recursive ", "with ") if body.lower().startswith(h)), "")
+                body = f"{head}{ctes}, {body[len(head):]}" if head else f"with {ctes} {body}"
             ORACLES[name] = body
         return fun
 
