@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortloom.functions.text import short_protein
-from cohortloom.operators.common import first_row, grid, later_wins, with_group
+from cohortloom.operators.common import first_row, grid, join_stats, later_wins, with_group
+from cohortloom.operators.order import exact_median, exact_percentiles
 
 # ---------------------------------------------------------------- hits per gene
 
@@ -127,15 +128,9 @@ def expression_wide(df: DataFrame, value: str, samples: Sequence[str], digits: i
 
 
 def percentile_view(df: DataFrame, value: str = "rpkm", key: str = "gene_id") -> DataFrame:
-    """Discrete percentiles of each gene over the cohort."""
+    """Discrete percentiles of each gene over the cohort, by selection: no task holds a gene's values.  Runs jobs while it is called."""
     points = {"pct_20": 0.2, "pct_30": 0.3, "pct_40": 0.4, "pct_50": 0.5, "pct_75": 0.75, "pct_90": 0.9, "pct_95": 0.95, "pct_99": 0.99, "pct_999": 0.999}
-    # Counting equal values first keeps the sorted state of a gene to its distinct values.
-    from pyspark.sql import Window
-
-    n = df.filter(F.col(value).isNotNull()).groupBy(key, F.col(value).alias("__x")).agg(F.count(F.lit(1)).alias("__n"))
-    w = Window.partitionBy(key)
-    c = n.withColumn("__c", F.sum("__n").over(w.orderBy("__x").rowsBetween(Window.unboundedPreceding, 0))).withColumn("__t", F.sum("__n").over(w))
-    return c.groupBy(key).agg(*[F.min(F.when(F.col("__c") >= F.lit(p) * F.col("__t"), F.col("__x"))).alias(name) for name, p in points.items()])
+    return exact_percentiles(df, [key], value, points).drop("n")
 
 
 def percentile_band(value: Column) -> Column:
@@ -146,8 +141,9 @@ def percentile_band(value: Column) -> Column:
 
 
 def cohort_medians(df: DataFrame, value: str, own: Sequence[str] = (), min_samples: int = 10) -> DataFrame:
-    """Median per cohort of one gene; small cohorts only if they are the sample's own."""
-    m = df.groupBy("cohort").agg(F.count(F.lit(1)).alias("n"), F.median(value).alias("median"))
+    """Median per cohort of one gene, by selection; small cohorts only if they are the sample's own.  Runs jobs while it is called."""
+    sizes = df.groupBy("cohort").agg(F.count(F.lit(1)).alias("n"))
+    m = join_stats(sizes, exact_median(df, ["cohort"], value).drop("n"), ["cohort"])
     mine = F.col("cohort").isin(list(own)) if own else F.lit(False)
     return m.filter(((F.col("n") > min_samples) & F.col("cohort").isNotNull()) | mine).orderBy(F.col("median").desc(), F.col("cohort").asc())
 

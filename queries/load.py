@@ -7,6 +7,7 @@ from queries import (  # noqa: F401
     interval_queries,
     model_queries,
     more_queries,
+    order_queries,
     variant_queries,
     verify_queries,
 )
