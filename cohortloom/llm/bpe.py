@@ -35,7 +35,7 @@ SPACE = "\\t-\\r\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205
 #: A vocabulary is a bounded object (a few MB); a larger file than this is refused rather than broadcast.
 MAX_TOKENS = 2_000_000
 #: Entries a worker remembers before it starts anew, some 200 bytes each: (piece -> ids), twice, and (state, token) -> state.
-MEMO = 150_000
+MEMO = 350_000
 
 FIELDS = StructType([StructField("n_tokens", LongType()), StructField("ids_packed", BinaryType()), StructField("decoded", StringType())])
 
