@@ -18,6 +18,7 @@ from cohortloom.functions.numeric import log2_ratio
 from cohortloom.functions.text import letter_share
 from cohortloom.operators.common import first_row, join_stats, top_n, with_group
 from cohortloom.operators.intervals import covered_fraction, first_overlap, overlap_flag, overlap_join, resize
+from cohortloom.operators.subspace import leading_components
 
 HETEROZYGOUS = ["0/0/0/1", "0/0/1/1", "0/1/1/1", "0/1"]  # fixed values
 
@@ -403,31 +404,12 @@ def pool_log_ratio(cov: DataFrame, centre: bool = True) -> DataFrame:
     return c.withColumn("lr", F.col("lr") - F.col("__c")).drop("__c")
 
 
-def pool_components(lr: DataFrame, n: int = 20) -> DataFrame:
+def pool_components(lr: DataFrame, n: int = 20, tol: float = 1e-10) -> DataFrame:
     """First ``n`` left singular vectors of the tiles x normals matrix, long form (chr, start, comp, u).
 
-    Works with the normals x normals Gram matrix, whose size depends on the panel (a few hundred
-    normals), not on the tiles: Gram entries are one distributed sum, its eigenvectors one small
-    dense problem, and the tile vectors one distributed product.
+    Any number of normals: block Krylov steps over the cells, see ``subspace``.
     """
-    import numpy as np
-
-    ids = [r["id"] for r in lr.select("id").distinct().orderBy("id").limit(1001).collect()]
-    if len(ids) > 1000:
-        raise ValueError("a pool of normals holds at most 1000 samples")
-    wide = lr.groupBy("chr", "start").pivot("id", ids).agg(F.first("lr")).fillna(0.0)
-    vec = wide.select("chr", "start", F.array(*[F.col(f"`{i}`") for i in ids]).alias("v"))
-    m = len(ids)
-    gram = vec.select(F.posexplode("v").alias("i", "a"), "v").filter("a <> 0").select("i", F.posexplode(F.transform("v", lambda b: b * F.col("a"))).alias("j", "p"))
-    cells = gram.groupBy("i", "j").agg(F.sum("p").alias("g")).collect()  # m x m numbers, m bounded above
-    g = np.zeros((m, m))
-    for r in cells:
-        g[r["i"], r["j"]] = r["g"]
-    val, ev = np.linalg.eigh(g)
-    top = [k for k in np.argsort(val)[::-1][:n] if val[k] > 1e-9 * max(val.max(), 1e-300)]
-    coef = F.array(*[F.array(*[F.lit(float(ev[i, k] / np.sqrt(val[k]))) for i in range(m)]) for k in top])
-    dot = lambda w: F.aggregate(F.zip_with("v", w, lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
-    return vec.select("chr", "start", F.posexplode(F.transform(coef, dot)).alias("comp", "u"))
+    return leading_components(lr, ["chr", "start"], "id", "lr", n, tol)
 
 
 def pool_denoise(lr: DataFrame, components: DataFrame) -> DataFrame:

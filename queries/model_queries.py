@@ -89,6 +89,28 @@ def _(d):
     return T.pool_denoise(e, T.pool_components(e, 3)).select("id", "chr", "start", R("lr", 4))
 
 
+def _deflated(n, doublings=14):
+    """CTEs that take the first n components out of the Gram matrix g0: a high power of it, by squaring, is a projector."""
+    out = []
+    for c in range(n):
+        out.append(f"p{c}_0 as materialized (select i, j, v / (select sum(v) from g{c} where i = j) as v from g{c})")
+        for t in range(doublings):
+            out.append(f"q{c}_{t} as materialized (select a.i, b.j, sum(a.v * b.v) as v from p{c}_{t} a join p{c}_{t} b on a.j = b.i group by 1, 2)")
+            out.append(f"p{c}_{t + 1} as materialized (select i, j, v / (select sum(v) from q{c}_{t} where i = j) as v from q{c}_{t})")
+        last = f"p{c}_{doublings}"
+        out.append(f"g{c + 1} as materialized (select g.i, g.j, g.v - p.v * (select sum(a.v * b.v) from g{c} a join {last} b on a.i = b.i and a.j = b.j) as v from g{c} g join {last} p on g.i = p.i and g.j = p.j)")
+    return ", ".join(out)
+
+
+@query("pool_residuals", f"""with c as materialized (select vec_id, cast(unnest(embedding) as double) as x, generate_subscripts(embedding, 1) - 1 as id from embeddings),
+ g0 as materialized (select a.id as i, b.id as j, sum(a.x * b.x) as v from c a join c b using (vec_id) group by 1, 2), {_deflated(2)}
+select cast(i as varchar) as id, round(sqrt(v), 4) as residual from g2 where i = j""")
+def _(d):
+    e = d.embeddings.select(F.col("vec_id").alias("start"), F.lit("c").alias("chr"), F.posexplode("embedding").alias("id", "lr")).withColumn("id", F.col("id").cast("string")).withColumn("lr", F.col("lr").cast("double"))
+    left = T.pool_denoise(e, T.pool_components(e, 2))
+    return left.groupBy("id").agg(F.round(F.sqrt(F.sum(F.col("lr") * F.col("lr"))), 4).alias("residual"))
+
+
 @query("gc_correction", f"""with {TILE}, t as (select *, (start / 3600 % 97) / 97 as gc, log2(cov) as lr, cast(least(floor((start / 3600 % 97) / 97 * 200), 199) as int) as bin from tile),
  pts as (select id, target, bin, avg(gc) as ox, avg(lr) as oy, count(*) as ow from t where hq group by 1, 2, 3), ev as (select id, target, bin, coalesce(avg(case when hq then gc end), avg(gc)) as x from t group by 1, 2, 3),
  pr as (select ev.*, ox, oy, ow, abs(ox - x) as d from ev join pts on pts.id = ev.id and pts.target = ev.target),
