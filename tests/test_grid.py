@@ -1,0 +1,63 @@
+"""Copy states over the whole default grid against a plain evaluation, tile by tile."""
+
+import math
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from cohortloom.operators import model as MO
+
+TILE = "id string, seg int, lr double, nC int, hq boolean, sd double"
+
+
+def _plain(tiles, p, ploidy, max_c, o):
+    """(C, llik, lr, nC, sC) of the best state of one segment's tiles (lr, nC, sd)."""
+    states = []
+    for c in range(2 * max_c + 1):
+        own = [t for t in tiles if t[1] == 1 or c <= max_c]
+        if not own:
+            continue
+        mean = math.log2((p * c + (1 - p) * 2) / (p * ploidy + (1 - p) * 2))
+        ll = sum(np.logaddexp(-0.5 * ((lr - mean) / sd) ** 2 - math.log(sd) - 0.5 * math.log(2 * math.pi) + math.log(1 - o.p_lr_anom), math.log(o.p_lr_anom / 12)) for lr, _, sd in own)
+        lr = float(np.mean([t[0] for t in own]))
+        states.append((ll, c if lr > 0 else -c, c, lr, max(t[1] for t in own)))
+    ll, _, c, lr, nc = max(states)
+    sc = max(min((2**lr * (p * ploidy + (1 - p) * 2) - (1 - p) * 2) / p, o.max_sc / (nc / 2)), 0.0)
+    return (o.max_c if sc > o.max_c else c), ll, lr, nc, sc
+
+
+def test_default_grid_equals_plain_evaluation(spark):
+    rng, o = np.random.default_rng(4), MO.ModelOptions()
+    tiles = [("a", 1, float(rng.normal(0.3, 0.2)), 2, True, 0.2) for _ in range(9)]
+    tiles += [("a", 2, -0.7, 2, True, 0.2)] * 5 + [("a", 2, float(rng.normal(-0.7, 0.1)), 1, True, 0.2) for _ in range(4)]  # repeated values, mixed copies
+    tiles += [("a", 3, float(rng.normal(2.5, 0.1)), 1, True, 0.3) for _ in range(4)]  # haploid, beyond max_c
+    tiles += [("a", 1, None, 2, True, 0.2), ("a", 1, float("nan"), 2, True, 0.2), ("a", 1, 9.0, 2, False, 0.2)]
+    df = spark.createDataFrame(tiles, TILE)
+    points = MO.grid_points(df, o)
+    assert points.count() == 72 * 72
+    got = {(r.seg, r.cand): r for r in MO.copy_states(df, points, o.grid_max_c, o).collect()}
+    assert len(got) == 3 * 72 * 72
+    for q in points.collect()[::17]:
+        for seg in (1, 2, 3):
+            own = [(lr, nc, sd) for _, s, lr, nc, hq, sd in tiles if s == seg and hq and lr is not None and not math.isnan(lr)]
+            c, ll, lr, nc, sc = _plain(own, q.p, q.ploidy, o.grid_max_c, o)
+            r = got[seg, q.cand]
+            assert (r.C, r.nC) == (c, nc) and np.allclose([r.llik, r.lr, r.sC], [ll, lr, sc], atol=1e-9)
+
+
+def test_long_segments_are_dealt_in_blocks(spark):
+    df = spark.range(9000).select(F.lit("a").alias("id"), F.lit(1).alias("seg"), (F.col("id") / 20000).alias("lr"), F.lit(2).alias("nC"), F.lit(True).alias("hq"), F.lit(0.3).alias("sd"))
+    sizes = [r[0] for r in MO._blocks(df.unionByName(df), 1000).select(F.size("x")).collect()]
+    assert len(sizes) == 9 and sum(sizes) == 9000 and max(sizes) < 1300
+    o = MO.ModelOptions()
+    point = spark.createDataFrame([("a", "1", 0.6, 2.2)], "id string, cand string, p double, ploidy double")
+    r = MO.copy_states(df, point, 5, o).first()
+    c, ll, lr, _, _ = _plain([(i / 20000, 2, 0.3) for i in range(9000)], 0.6, 2.2, 5, o)
+    assert r.C == c and abs(r.llik - ll) < 1e-6 and abs(r.lr - lr) < 1e-9
+
+
+def test_missing_points_and_spread(spark):
+    df = spark.createDataFrame([("a", 1, 0.5, 2, True, 0.2), ("b", 1, 0.5, 2, True, None)], TILE)
+    points = spark.createDataFrame([("a", "x", None, 2.0), ("b", "y", 0.5, 2.0)], "id string, cand string, p double, ploidy double")
+    assert {(r.cand, r.llik) for r in MO.copy_states(df, points, 3).collect()} == {("x", None), ("y", None)}
+    assert MO.copy_states(df.limit(0), points, 3).count() == 0
