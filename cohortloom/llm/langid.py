@@ -1,6 +1,6 @@
 """Language identification by cross-parsing.
 
-A bounded sample of labelled text per language is turned into a suffix automaton over characters.  A text's words, each
+A bounded sample of labelled text per language (the texts of lowest hash) is turned into a suffix automaton over characters.  A text's words, each
 with a space on both sides, are parsed against it: the next phrase is the longest match from where the last one ended,
 and a character that no match starts with is a phrase of its own.  The language whose automaton needs the fewest phrases
 per character wins.  Phrases end with their word, so a word is parsed once for all its occurrences.
@@ -19,31 +19,50 @@ from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, Struc
 from pyspark.sql.window import Window
 
 from cohortloom.llm.automaton import Shared, SuffixAutomaton
-from cohortloom.llm.common import add_struct, prepare
+from cohortloom.llm.common import add_struct, prepare, store
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 #: Words a worker remembers, characters of the longest one that is remembered, and bits of one language's sum.
 MEMO, MEMO_CHARS, BITS = 200_000, 48, 40
 #: Languages one model may have.
 MAX_LANGUAGES = 1_000
+#: Texts of a language's sample, at least, where it has so many; cells of hashes that are looked at.
+TEXTS, CELLS = 20, 64
 
 FIELDS = StructType([StructField("lang_pred", StringType()), StructField("score", DoubleType()), StructField("phrases", ArrayType(LongType()))])
 
 
 def sample(docs: DataFrame, text: str, lang: str, chars: int) -> list[tuple[str, str]]:
-    """(language, text): whole texts in the order of a hash, for each language up to ``chars`` characters in all."""
-    t = docs.select(F.col(f"`{lang}`").alias("lang"), F.col(f"`{text}`").alias("text")).filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") <= chars))
-    t = t.withColumn("n", F.length("text")).withColumn("h", F.xxhash64("text"))
-    # Only about four times what is wanted of each language goes into the ordered sample, and the filter comes before any
-    # shuffle of texts: the sizes are one number per language, joined by broadcast.
-    sizes = t.groupBy("lang").agg(F.sum("n").alias("all")).limit(MAX_LANGUAGES + 1).collect()
-    if len(sizes) > MAX_LANGUAGES:
+    """(language, text): for each language its distinct texts in the order of a hash, until they have ``chars`` characters.
+
+    One text gives at most a twentieth of ``chars`` (its beginning; longer texts still teach), so no language with a labelled
+    character is left without a sample.  Sizes are taken over distinct texts, so copies do not thin the sample out.
+    """
+    bound = max(1, chars // TEXTS)
+    t = docs.select(F.col(f"`{lang}`").alias("lang"), F.col(f"`{text}`").alias("text"), F.xxhash64(F.col(f"`{text}`")).alias("h"))
+    t = t.filter(F.col("lang").isNotNull() & (F.length("text") > 0))
+    # 53 bits of the hash as a place between 0 and 1.
+    t = t.withColumn("at", F.shiftrightunsigned("h", 11) / F.lit(float(1 << 53)))
+    # Hashes and lengths are shuffled, texts are not.
+    keys = store(t.groupBy("lang", "h", "at").agg(F.least(F.max(F.length("text")), F.lit(bound)).alias("n")))
+    sizes = keys.groupBy("lang").agg(F.sum("n").alias("all"))
+    if sizes.limit(MAX_LANGUAGES + 1).count() > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    share = docs.sparkSession.createDataFrame([(r.lang, min(1.0, 4.0 * chars / max(1, r["all"]))) for r in sizes], "l string, share double")
-    few = t.join(F.broadcast(share), F.col("lang") == F.col("l")).filter(F.pmod(F.col("h"), F.lit(1 << 20)) < F.col("share") * (1 << 20)).select("lang", "text", "n", "h").dropDuplicates(["lang", "h"])
-    order = Window.partitionBy("lang").orderBy("h").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    picked = few.withColumn("sum", F.sum("n").over(order)).filter(F.col("sum") <= chars).select("lang", "text")
-    return sorted((r.lang, r.text) for r in picked.collect())  # bounded: chars per language
+    # Cells of about ``chars`` characters; as no text has more than a twentieth of that, the first CELLS hold enough in all
+    # but one of e^1000 cases, and a language of fewer cells is there as a whole.
+    cell = keys.join(sizes, "lang").withColumn("cell", F.floor(F.col("at") * F.col("all") / chars)).filter(F.col("cell") < CELLS)
+    order = Window.partitionBy("lang").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    before = cell.groupBy("lang", "cell").agg(F.sum("n").alias("n"), F.max("at").alias("at")).withColumn("before", F.coalesce(F.sum("n").over(order), F.lit(0)))
+    last = before.filter(F.col("before") < chars).groupBy(F.col("lang").alias("l")).agg(F.max("at").alias("last"))
+    few = t.join(F.broadcast(last), (F.col("lang") == F.col("l")) & (F.col("at") <= F.col("last")))  # at most MAX_LANGUAGES rows
+    texts = few.groupBy("lang", "h", "at").agg(F.min(F.substring("text", 1, bound)).alias("text"))
+    picked, used = [], {}
+    for r in sorted(texts.collect(), key=lambda r: (r.lang, r.at, r.h)):  # bounded: a few cells of ``chars`` per language
+        left = chars - used.get(r.lang, 0)
+        if left > 0:
+            picked.append((r.lang, r.text[:left]))
+            used[r.lang] = used.get(r.lang, 0) + len(r.text)
+    return sorted(picked)
 
 
 class Parser:
@@ -117,7 +136,7 @@ def identify(df: DataFrame, labelled: DataFrame, text: str = "text", label_text:
 
     Languages are in the order of their names; ties go to the first.  A NULL text or one without letters is ``und`` with
     score 0; so is every text if no labelled text is there.  With one language known, it has score 1.  Rows with NULL
-    label teach nothing; repeated texts teach once.  Empty tables give empty results; input columns named like the
+    label teach nothing; repeated texts teach once; of a long text the first twentieth of ``chars`` characters teaches.  Empty tables give empty results; input columns named like the
     results give way.
     """
     return add_struct(df, model(labelled, label_text, lang, chars)(F.col(f"`{text}`")), FIELDS.names)

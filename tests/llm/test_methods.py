@@ -9,6 +9,7 @@ import zlib
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from cohortloom.llm import bpe, chat, decontaminate, langid, linefreq, pii, quality, queries, simhash, suffixes, wrapper
 from cohortloom.llm.automaton import SuffixAutomaton
@@ -216,6 +217,29 @@ def test_language_held_out(spark):
     assert rows and np.mean([r.lang_pred == truth[r.doc_id] for r in rows]) >= 0.98 and all(0 <= r.score <= 1 for r in rows)
 
 
+def test_language_sample_is_lowest_hashes(spark):
+    """Texts of lowest hash until the limit; copies count once; no language is left out."""
+    few = [(f"w{k} copied text of a small language", "copies") for k in range(20) for _ in range(400)]
+    long = [("quok wibble " * 20_000, "long")]
+    many = [(f"this is plain text number {k} of many", "many") for k in range(5_000)]
+    df = spark.createDataFrame([*few, *long, *many, (None, "many"), ("", "many"), ("x", None), ("", "empty")], "text string, lang string")
+    got = {}
+    for name, text in langid.sample(df, "text", "lang", 1_000):
+        got.setdefault(name, []).append(text)
+    assert set(got) == {"copies", "long", "many"}
+    hashed = df.select("text", "lang", F.shiftrightunsigned(F.xxhash64("text"), 11).alias("h")).filter("length(text) > 0 and lang is not null").distinct().collect()
+    for name, texts in got.items():
+        want, left = [], 1_000
+        for r in sorted((r for r in hashed if r.lang == name), key=lambda r: r.h):
+            if left > 0:
+                want.append(r.text[:50][:left])
+                left -= len(want[-1])
+        assert sorted(want) == sorted(texts)
+    asked = spark.createDataFrame([("wibble quok wibble",), ("w3 copied text",)], "text string")
+    rows = {r.text: r.lang_pred for r in langid.identify(asked, df, chars=1_000).collect()}
+    assert rows == {"wibble quok wibble": "long", "w3 copied text": "copies"}
+
+
 def test_phrases_by_definition():
     p = langid.Parser([("x", "abc abd"), ("y", "qqq")])
     for w in ("abc", "abab", "zab", "cq"):
