@@ -7,18 +7,19 @@ of the longest match after each word tell which windows of an item end there.  W
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, LongType, StringType, StructField, StructType
 
 from cohortloom.llm.automaton import Shared, SuffixAutomaton
-from cohortloom.llm.common import add_struct, prepare
+from cohortloom.llm.common import add_struct, fresh, prepare, store
 
-#: Characters of test items that may be broadcast in all, and words of one automaton; more items make more automata.
-MAX_ITEM_CHARS, BLOCK_WORDS = 64_000_000, 100_000
+#: Words of one automaton (some 60 MB in a worker) and automata of one pass over the texts; more items make more passes.
+BLOCK_WORDS, BLOCKS = 100_000, 8
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
@@ -27,6 +28,10 @@ FIELDS = StructType(
     [StructField("n_words", LongType()), StructField("n_hit", LongType()), StructField("longest_match", LongType()), StructField("item_ids", ArrayType(StringType())), StructField("contaminated", BooleanType()), StructField("cleaned", StringType())]
 )
 
+#: What passes before have found in a text: the ends of its hit spans, items and longest match.
+FOUND = "struct<edges: array<bigint>, names: array<string>, longest: bigint>"
+NOTHING = "named_struct('edges', cast(array() as array<bigint>), 'names', cast(array() as array<string>), 'longest', 0L)"
+
 
 def words_of(text: str | None) -> list[bytes]:
     """Runs of ASCII letters and digits and of all other characters, A-Z in lower case; none if NULL."""
@@ -124,55 +129,52 @@ def _without(text: str, spans: list[list[int]], at_least: int) -> str:
     return "".join(out) + text[at:]
 
 
-@lru_cache(maxsize=4)
+@lru_cache(maxsize=BLOCKS)
 def _items(shared: Shared, window: int) -> Items:
     return Items(shared.value, window)
 
 
-def _blocks(items: DataFrame, item_id: str, text: str) -> list[list[tuple[str | None, str]]]:
-    items = items.select(F.col(f"`{item_id}`").cast("string").alias("i"), F.col(f"`{text}`").alias("t")).filter(F.col("t").isNotNull())
-    chars = items.agg(F.sum(F.length("t"))).first()[0] or 0
-    if chars > MAX_ITEM_CHARS:
-        raise ValueError(f"{chars} characters of test items; at most {MAX_ITEM_CHARS} are broadcast")
-    out, size = [[]], 0
-    for r in items.toLocalIterator():  # bounded by the check above
+def _passes(items: DataFrame, item_id: str, text: str) -> Iterator[list[Shared]]:
+    """The items in lists of up to BLOCKS blocks, one list at a time on the driver; at least one block."""
+    rows = items.select(F.col(f"`{item_id}`").cast("string").alias("i"), F.col(f"`{text}`").alias("t")).filter(F.col("t").isNotNull())
+    blocks, block, size = [], [], 0
+    for r in rows.toLocalIterator():
         n = len(words_of(r.t))
         if size and size + n > BLOCK_WORDS:
-            out.append([])
-            size = 0
-        out[-1].append((r.i, r.t))
+            blocks.append(Shared(items.sparkSession, block))
+            block, size = [], 0
+            if len(blocks) == BLOCKS:
+                yield blocks
+                blocks = []
+        block.append((r.i, r.t))
         size += n
-    return out
+    yield [*blocks, Shared(items.sparkSession, block)]
 
 
-def marks(items: DataFrame, item_id: str = "item_id", item_text: str = "text", window: int = 13, share: tuple[int, int] = (1, 20), remove_words: int | None = None) -> Column:
-    """The function text -> FIELDS for a table of test items (see ``decontaminate``)."""
-    spark = prepare(items.sparkSession)
-    blocks = [Shared(spark, b) for b in _blocks(items, item_id, item_text)]
-    top, bottom = share
-    limit = window if remove_words is None else remove_words
+def _read(words: list[list[bytes]], blocks: list[Shared], window: int) -> list[tuple[list[list[int]], set, int]]:
+    """Spans, items and longest match of every text, over the blocks of one pass."""
+    found = [([], set(), 0)] * len(words)
+    for shared in blocks:
+        auto = _items(shared, window)
+        for k, w in enumerate(words):
+            if w:
+                spans, names, longest = auto.read(w)
+                found[k] = (found[k][0] + spans, found[k][1] | names, max(found[k][2], longest))
+    return [(_union(spans), names - {None}, longest) for spans, names, longest in found]
 
-    def one(text: str | None, words: list[bytes], found: list) -> tuple:
-        spans = _union([s for f in found for s in f[0]])
-        names = set().union(*(f[1] for f in found))
-        hit = sum(b - a for a, b in spans)
-        cleaned = None if text is None else _without(text, spans, limit) if spans else text
-        return len(words), hit, max(f[2] for f in found), sorted(n for n in names if n is not None), hit > 0 and bottom * hit >= top * len(words), cleaned
 
-    @F.pandas_udf(FIELDS)
-    def run(texts: pd.Series) -> pd.DataFrame:
-        words = [words_of(t) for t in texts]
-        found: list[list] = [[] for _ in words]
-        for shared in blocks:
-            auto = _items(shared, window)
-            for f, w in zip(found, words, strict=True):
-                f.append(auto.read(w))
-        return pd.DataFrame([one(t, w, f) for t, w, f in zip(texts, words, found, strict=True)], columns=FIELDS.names)
+def _result(text: str | None, words: list[bytes], found: tuple, share: tuple[int, int], limit: int) -> tuple:
+    spans, names, longest = found
+    hit = sum(b - a for a, b in spans)
+    cleaned = None if text is None else _without(text, spans, limit) if spans else text
+    return len(words), hit, longest, sorted(names), hit > 0 and share[1] * hit >= share[0] * len(words), cleaned
 
-    return run
+
+def _earlier(seen: pd.DataFrame) -> list[tuple[list[list[int]], set, int]]:
+    return [([list(map(int, s)) for s in zip(e[::2], e[1::2])], set(n), int(m)) for e, n, m in zip(seen["edges"], seen["names"], seen["longest"])]
 
 
-def decontaminate(df: DataFrame, items: DataFrame, text: str = "text", **options) -> DataFrame:
+def decontaminate(df: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = 13, share: tuple[int, int] = (1, 20), remove_words: int | None = None) -> DataFrame:
     """Every row with n_words, n_hit, longest_match, item_ids, contaminated and cleaned.
 
     A window is ``window`` successive words of an item, or all words of a shorter item; a word of the text inside an
@@ -181,8 +183,50 @@ def decontaminate(df: DataFrame, items: DataFrame, text: str = "text", **options
     NULL; items with NULL text or without words match nothing, items with NULL id hit words but are not listed; equal
     items are all listed, ids once.  No items: nothing is hit.  Empty tables give empty results; input columns named
     like the results give way.
+
+    Items of up to BLOCKS * BLOCK_WORDS words are read in one lazy pass.  More of them make more passes, which run while
+    this is called: each reads the rows stored by the one before and adds what its automata find, without a shuffle, so
+    neither a worker nor the driver holds more than one pass's items.
     """
-    return add_struct(df, marks(items, **options)(F.col(f"`{text}`")), FIELDS.names)
+    spark = prepare(items.sparkSession)
+    limit = window if remove_words is None else remove_words
+    passes = _passes(items, item_id, item_text)
+    blocks, source = next(passes), F.col(f"`{text}`")
+    following = next(passes, None)
+    if following is None:
+
+        @F.pandas_udf(FIELDS)
+        def run(texts: pd.Series) -> pd.DataFrame:
+            words = [words_of(t) for t in texts]
+            return pd.DataFrame([_result(t, w, f, share, limit) for t, w, f in zip(texts, words, _read(words, blocks, window), strict=True)], columns=FIELDS.names)
+
+        return add_struct(df, run(source), FIELDS.names)
+
+    tmp = fresh([*df.columns, *FIELDS.names], "found")
+    rows = df.withColumn(tmp, F.lit(None).cast(FOUND))
+    while blocks is not None:
+        rows = store(rows.withColumn(tmp, _more(blocks, window)(source, F.coalesce(F.col(tmp), F.expr(NOTHING)))))
+        for shared in blocks:
+            shared.broadcast.unpersist()
+        blocks, following = following, next(passes, None)
+
+    @F.pandas_udf(FIELDS)
+    def finish(texts: pd.Series, seen: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame([_result(t, words_of(t), f, share, limit) for t, f in zip(texts, _earlier(seen), strict=True)], columns=FIELDS.names)
+
+    return add_struct(rows, finish(source, F.col(tmp)), FIELDS.names).drop(tmp)
+
+
+def _more(blocks: list[Shared], window: int):
+    """The function (text, found before) -> found with these blocks."""
+
+    @F.pandas_udf(FOUND)
+    def run(texts: pd.Series, seen: pd.DataFrame) -> pd.DataFrame:
+        now = _read([words_of(t) for t in texts], blocks, window)
+        both = [(_union(s + z), n | m, max(a, b)) for (s, n, a), (z, m, b) in zip(_earlier(seen), now, strict=True)]
+        return pd.DataFrame([([e for span in s for e in span], sorted(n), m) for s, n, m in both], columns=["edges", "names", "longest"])
+
+    return run
 
 
 #: The contract in DuckDB: windows as lists of words, joined with every window of the texts.

@@ -147,7 +147,10 @@ def test_suffix_automaton_longest_matches():
         assert matched == want
 
 
-def test_decontamination_brute_force(spark):
+@pytest.mark.parametrize("block_words, blocks", [(100_000, 8), (20, 8), (20, 2)])  # one block, one pass of blocks, many passes
+def test_decontamination_brute_force(spark, monkeypatch, block_words, blocks):
+    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", block_words)
+    monkeypatch.setattr(decontaminate, "BLOCKS", blocks)
     r = random.Random(2)
     vocab = ["a", "b", "c", "d", "é1"]
     items = [(i, " ".join(r.choice(vocab) for _ in range(r.choice([1, 4, 13, 20, 30])))) for i in range(12)] + [(90, None), (91, "!!")]
@@ -166,6 +169,15 @@ def test_decontamination_brute_force(spark):
         assert (got[i].n_words, got[i].n_hit, got[i].item_ids) == (len(words), len(hit), sorted(found))
 
 
+def test_blocks_are_built_once(spark):
+    blocks = [decontaminate.Shared(spark, [(str(k), f"alpha beta {k}")]) for k in range(decontaminate.BLOCKS)]
+    decontaminate._items.cache_clear()
+    for _ in range(10):
+        found = decontaminate._read([[b"alpha", b"beta", b"3"], []], blocks, 13)
+        assert found == [([[0, 3]], {"3"}, 3), ([], set(), 0)]
+    assert decontaminate._items.cache_info().misses == len(blocks)
+
+
 def test_chat_is_cheapest(spark):
     r = random.Random(4)
     convs = {c: [r.choice(["system", "user", "assistant", "tool", "User"]) for _ in range(r.randint(1, 9))] for c in range(60)} | {1000: [r.choice(["user", "assistant"]) for _ in range(500)]}
