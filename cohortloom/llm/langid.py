@@ -48,9 +48,10 @@ def sample(docs: DataFrame, text: str, lang: str, chars: int) -> list[tuple[str,
     sizes = keys.groupBy("lang").agg(F.sum("n").alias("all"))
     if sizes.limit(MAX_LANGUAGES + 1).count() > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    # The sizes (at most MAX_LANGUAGES rows) are broadcast, so that no language's hashes come together in one task.
     # Cells of about ``chars`` characters; as no text has more than a twentieth of that, the first CELLS hold enough in all
     # but one of e^1000 cases, and a language of fewer cells is there as a whole.
-    cell = keys.join(sizes, "lang").withColumn("cell", F.floor(F.col("at") * F.col("all") / chars)).filter(F.col("cell") < CELLS)
+    cell = keys.join(F.broadcast(sizes), "lang").withColumn("cell", F.floor(F.col("at") * F.col("all") / chars)).filter(F.col("cell") < CELLS)
     order = Window.partitionBy("lang").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
     before = cell.groupBy("lang", "cell").agg(F.sum("n").alias("n"), F.max("at").alias("at")).withColumn("before", F.coalesce(F.sum("n").over(order), F.lit(0)))
     last = before.filter(F.col("before") < chars).groupBy(F.col("lang").alias("l")).agg(F.max("at").alias("last"))
