@@ -2,6 +2,7 @@
 
 from queries import (  # noqa: F401
     batch_queries,
+    changepoint_queries,
     cohort_queries,
     fusion_queries,
     interval_queries,
