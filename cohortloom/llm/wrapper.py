@@ -39,8 +39,8 @@ ASIDE_WORDS = frozenset(
 )
 
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{'|'.join(RAW)})\b(?:[^>\"']++|\"[^\"]{{0,9999}}\"|'[^']{{0,9999}}'|[\"'])*+>.*?(?:</(?P=raw)\s*[^>]*>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]{0,9999}\"|'[^']{0,9999}'|[\"'])*+)>|(?P<text>[^<]+|<)",
+    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{'|'.join(RAW)})\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+>.*?(?:</(?P=raw)\s*[^>]*>|\Z)|<[!?][^>]*(?:>|\Z)"
+    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)>|(?P<text>[^<]+|<)",
     re.S | re.I,
 )
 _ATTRIBUTE = re.compile(r"""(?<![\w-])(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)

@@ -31,3 +31,16 @@ def test_nested_divs_on_both_sides_of_the_depth():
 def test_deep_main_node_without_a_name():
     pages = ["<body>" + "<div>" * 100 + f"<p>{w} text</p><form>a form</form><p>{w} end</p>" + "</div>" * 100 + "<div>foot</div></body>" for w in ("one", "two", "three")]
     assert wrapper.main_text(pages[0], fold(pages)) == "one text one end"
+
+
+def test_long_quoted_attributes():
+    for n in (10, 9_998, 12_000, 300_000):
+        for q in "\"'":
+            image = f"<img src={q}data:{'x' * n} > y{q}>"
+            pages = [f"<body><div><article><p>first {w}</p>{image}<script data-a={q}{'z' * n}>{q}>no text</script><p>last {w}</p></article></div></body>" for w in ("one", "two", "three")]
+            assert wrapper.main_text(pages[1], fold(pages)) == "first two last two"
+
+
+def test_quote_that_never_closes():
+    page = "<body><article><p>a</p><p title=\"b>c</p>" + "<i x=>d</i>" * 20_000 + "</article></body>"
+    assert wrapper.main_text(page, fold([page])).startswith("a c d")
