@@ -62,7 +62,7 @@ def _inside(rows: DataFrame, cells: DataFrame, keys: Sequence[str]) -> DataFrame
     on = (F.col("lo").isNull() | (F.col("x") > F.col("lo"))) & (F.col("hi").isNull() | (F.col("x") < F.col("hi")))
     for k in keys:
         on = on & F.col(k).eqNullSafe(F.col(f"__{k}"))
-    return rows.join(renamed, on).select(*keys, "lo", "hi", "x")
+    return rows.join(renamed.hint("merge"), on).select(*keys, "lo", "hi", "x")
 
 
 def _meet(left: DataFrame, right: DataFrame, cells: Sequence[str]) -> DataFrame:
@@ -74,7 +74,7 @@ def _finish(inside: DataFrame, near: DataFrame, cells: Sequence[str]) -> DataFra
     counted = inside.groupBy(*cells, "x").agg(F.count(F.lit(1)).alias("c"))
     upto = F.sum("c").over(Window.partitionBy(*cells).orderBy("x").rowsBetween(Window.unboundedPreceding, 0))
     placed = counted.withColumn("upto", upto)
-    both = placed.alias("p").join(near.alias("w"), [F.col(f"p.{c}").eqNullSafe(F.col(f"w.{c}")) for c in cells])
+    both = placed.alias("p").join(near.alias("w").hint("merge"), [F.col(f"p.{c}").eqNullSafe(F.col(f"w.{c}")) for c in cells])
     hit = both.filter((F.col("w.rank") <= F.col("p.upto")) & (F.col("w.rank") > F.col("p.upto") - F.col("p.c")))
     return hit.select(*[F.col(f"p.{k}").alias(k) for k in keys], "w.name", "p.x")
 
@@ -89,7 +89,7 @@ def _narrow(rows: DataFrame, large: DataFrame, keys: Sequence[str], cells: Seque
     # Of the values between two borders come first those below the upper one, then those on it.
     upto = F.sum("c").over(Window.partitionBy(*cells).orderBy("i", "on").rowsBetween(Window.unboundedPreceding, 0))
     placed = counted.withColumn("upto", upto)
-    both = placed.alias("p").join(large.alias("w"), [F.col(f"p.{c}").eqNullSafe(F.col(f"w.{c}")) for c in cells])
+    both = placed.alias("p").join(large.alias("w").hint("merge"), [F.col(f"p.{c}").eqNullSafe(F.col(f"w.{c}")) for c in cells])
     hit = both.filter((F.col("w.rank") <= F.col("p.upto")) & (F.col("w.rank") > F.col("p.upto") - F.col("p.c")))
     low, high = F.coalesce(F.get("p.b", F.col("p.i") - 1), F.col("p.lo")), F.coalesce(F.get("p.b", F.col("p.i")), F.col("p.hi"))
     out = cut_lineage(hit.select(
