@@ -15,6 +15,15 @@ def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_grid_pairs_all_without_broadcast(spark):
+    left = spark.range(300).select(F.col("id").cast("string").alias("a"))
+    right = spark.range(7).select(F.col("id").alias("b"), F.when(F.col("id") > 2, F.col("id")).alias("c"))
+    made = grid(left, right)
+    assert "Broadcast" not in plan_of(made)
+    assert made.count() == 2100 and made.distinct().count() == 2100
+    assert grid(left.limit(0), right).count() == 0 and grid(left, right.limit(0)).count() == 0
+
+
 def test_percentiles_send_no_cells_through_the_driver(spark):
     df = spark.createDataFrame([(k, float(v)) for k in "ab" for v in range(10)], "k string, v double")
     made = exact_percentiles(df, ["k"], "v", {"p20": 0.2, "p50": 0.5})
