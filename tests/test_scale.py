@@ -24,6 +24,13 @@ def test_grid_pairs_all_without_broadcast(spark):
     assert grid(left.limit(0), right).count() == 0 and grid(left, right.limit(0)).count() == 0
 
 
+def test_overlap_join_sends_no_copies_through_the_driver(spark):
+    g = spark.createDataFrame([("c", 1, 400, "x"), ("c", 300, 90_000, "y")], "chr string, start long, end long, name string")
+    made = I.overlap_join(g, g, bin_width=100, max_bins=8)
+    assert "Broadcast" not in plan_of(made)
+    assert made.count() == 4
+
+
 def test_percentiles_send_no_cells_through_the_driver(spark):
     df = spark.createDataFrame([(k, float(v)) for k in "ab" for v in range(10)], "k string, v double")
     made = exact_percentiles(df, ["k"], "v", {"p20": 0.2, "p50": 0.5})
