@@ -37,3 +37,34 @@ def test_percentiles_send_no_cells_through_the_driver(spark):
     assert {r["k"]: (r["p20"], r["p50"]) for r in made.collect()} == {"a": (1.0, 4.0), "b": (1.0, 4.0)}
     joins = [x for x in plan_of(made).splitlines() if "Join" in x and "Outer" not in x]
     assert joins and not any("Broadcast" in x for x in joins)
+
+
+def test_nearest_equals_plain_search_and_lists_no_pairs(spark):
+    rng = random.Random(5)
+    points = [(i, rng.choice("ab"), rng.randrange(400)) for i in range(300)] + [(300, "a", None), (301, None, 5), (302, "z", 5)]
+    ranges = [(rng.choice("ab"), s := rng.randrange(400), s + rng.choice((0, 3, 40, 90)), i) for i in range(60)]
+    p = spark.createDataFrame(points, "pid int, chr string, pos long")
+    r = spark.createDataFrame(ranges, "chr string, start long, end long, name int")
+    got = {x["pid"]: (x["n_start"], x["n_end"]) for x in I.nearest(p, r, point_key=["pid"]).collect()}
+    for pid, chrom, pos in points:
+        own = [(s, e) for c, s, e, _ in ranges if c == chrom and pos is not None]
+        apart = lambda s, e, at=pos: 0 if s <= at <= e else at - e if e < at else s - at
+        want = min(((apart(s, e), s, e) for s, e in own), default=(None, None, None))[1:]
+        assert got[pid] == want, (pid, chrom, pos)
+    plan = plan_of(I.nearest(p, r, point_key=["pid"]))
+    assert "__slot" not in plan and "sequence(" not in plan
+
+
+def test_asof_joins_points_by_position(spark):
+    rng = random.Random(9)
+    points = [(i, rng.choice("ab"), rng.randrange(200)) for i in range(200)] + [(200, None, 3), (201, "a", None)]
+    marks = sorted({(rng.choice("ab"), rng.randrange(200)) for _ in range(40)})
+    p = spark.createDataFrame(points, "pid int, chr string, pos long")
+    m = spark.createDataFrame(marks, "chr string, pos long")
+    for way in ("backward", "forward"):
+        made = I.asof_join(p, m, direction=way, bin_width=16)
+        got = {x["pid"]: x["m_pos"] for x in made.collect()}
+        for pid, chrom, pos in points:
+            near = [q for c, q in marks if c == chrom and pos is not None and (q <= pos if way == "backward" else q >= pos)]
+            assert got[pid] == ((max if way == "backward" else min)(near) if near else None)
+        assert "__tlo" not in plan_of(made)
