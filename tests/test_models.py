@@ -202,3 +202,27 @@ def test_settings():
     with pytest.raises(KeyError):
         with_overrides(MO.ModelOptions(), "nope:1")
     assert merge({"a": {"b": 1, "c": 2}}, {"a": {"b": 5}}) == {"a": {"b": 5, "c": 2}}
+
+
+def test_locus_splices_without_pairs(spark):
+    """Counts equal those of all pairs, whatever strands and nulls there are; a junction over very many bins is no burden."""
+    rng = np.random.default_rng(11)
+    strand = lambda: [None, "+", "-", "*", "+"][rng.integers(0, 5)]
+    j = [(f"s{rng.integers(0, 3)}" if i % 17 else None, f"c{rng.integers(0, 2)}" if i % 19 else None, int(a), int(a + w) if i % 23 else None, strand(), int(rng.integers(0, 9)) if i % 5 else None) for i, (a, w) in enumerate(zip(rng.integers(0, 200, 300), rng.integers(-4, 60, 300)))]
+    l = [(f"c{rng.integers(0, 3)}" if i % 13 else None, int(a), int(a + w), strand(), f"L{i % 30}" if i % 11 else None) for i, (a, w) in enumerate(zip(rng.integers(0, 200, 40), rng.integers(-3, 30, 40)))]
+    types = "sid string, chr string, start long, end long, strand string, nfrag int", "chr string, start long, end long, strand string, locus_id string"
+    pairs = {}
+    for sid, c, a, b, s, n in j:
+        for d, x, y, t, name in l:
+            if None not in (sid, c, a, b, d, name) and c == d and a <= y and x <= b and ("*" in (s, t) or s is not None and s == t):
+                k, f = pairs.get((sid, name), (0, 0))
+                pairs[sid, name] = k + 1, f + (n or 0)
+    wanted = sorted([(sid, r[4], *pairs.get((sid, r[4]), (0, 0))) for sid in ("s0", "s1", "s2", None) for r in l], key=repr)
+    assert any(a > b for _, _, a, b, *_ in j if b is not None) and any(r[1] > r[2] for r in l) and len(pairs) > 50
+    for reverse in (False, True):  # loci that end before they start are met in pairs
+        loci = l if reverse else [r for r in l if r[1] <= r[2]]
+        got = rows(GM.locus_splices(spark.createDataFrame(j, types[0]), spark.createDataFrame(loci, types[1])), "sid", "locus_id", "nsj", "nsfrag")
+        assert not reverse or got == wanted
+        assert reverse or len(got) == 4 * len(loci)
+    wide = spark.createDataFrame([("s", "c", 5, 10**16, "+", 7)], types[0])
+    assert rows(GM.locus_splices(wide, spark.createDataFrame([("c", 1, 4, "*", "a"), ("c", 9, 9, "*", "b")], types[1])), "locus_id", "nsj", "cspm") == [("a", 0, 0.0), ("b", 1, 1e6)]
