@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,25 +13,48 @@ from cohortloom.session import cut_lineage
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 60) -> DataFrame:
     """(node, component): every node with the smallest node id it can reach.
 
-    Each round takes the minimum label among neighbours (a partial aggregate, so a hub node with
-    a third of all edges is combined map-side) and then jumps to the label's own label, which halves
-    the distance to the root.  The label table is checkpointed every round, so neither the plan nor
-    the loss of an executor grows with the number of rounds.
+    Each round hangs every node below its smallest neighbour (a partial aggregate, so a hub node with a third of all
+    edges is combined map-side), follows the trees to their roots by pointer doubling, and keeps only the distinct edges
+    between different roots.  So an edge inside a tree is never shuffled again, an edge is held in one direction only, and
+    a node's own row is read once more at the end, when the roots' labels come down.  Each round at least halves the nodes
+    that still have edges.  Tables are stored every round, so neither the plan nor the loss of an executor grows with the
+    number of rounds.
     """
-    e = edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).filter(F.col("a").isNotNull() & F.col("b").isNotNull())
-    both = e.select("a", "b").unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    both = cut_lineage(both)
-    labels = both.select(F.col("a").alias("node")).distinct().withColumn("component", F.col("node"))
+    given = edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).filter(F.col("a").isNotNull() & F.col("b").isNotNull())
+    left = cut_lineage(_edges(given))
+    alone = left.filter("lo = hi").select(F.col("lo").alias("node"), F.col("lo").alias("component"))
+    left, levels = left.filter("lo < hi"), []
+    for _ in range(max_rounds):
+        roots = _roots(left.groupBy(F.col("hi").alias("node")).agg(F.min("lo").alias("root")), max_rounds)
+        levels.append(roots)
+        up = left.join(roots.select(F.col("node").alias("hi"), F.col("root").alias("__h")), "hi")
+        both = up.join(roots.select(F.col("node").alias("lo"), F.col("root").alias("__l")), "lo", "left")
+        between = both.select(F.coalesce("__l", "lo").alias("a"), F.col("__h").alias("b")).filter("a <> b")
+        left = cut_lineage(_edges(between))
+        if not left.limit(1).count():
+            break
+    else:
+        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+    # A node hangs below a root on one level only; the last level's roots are final.
+    done = levels.pop().withColumnRenamed("root", "component")
+    for level in reversed(levels):
+        top = done.select(F.col("node").alias("root"), F.col("component").alias("__c"))
+        done = cut_lineage(done.unionByName(level.join(top, "root", "left").select("node", F.coalesce("__c", "root").alias("component"))))
+    tops = done.select(F.col("component").alias("node"), "component")
+    return cut_lineage(reduce(DataFrame.unionByName, [done, tops, alone]).groupBy("node").agg(F.min("component").alias("component")))
+
+
+def _edges(pairs: DataFrame) -> DataFrame:
+    """Distinct pairs with the smaller end first."""
+    return pairs.select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).distinct()
+
+
+def _roots(parents: DataFrame, max_rounds: int) -> DataFrame:
+    """(node, root) of the nodes that have a parent (``root`` of the input), stored; a node that is not listed is a root."""
+    parents = cut_lineage(parents)
     for _ in range(max_rounds):
-        seen = both.join(labels.select(F.col("node").alias("b"), F.col("component").alias("__c")), "b")
-        low = seen.groupBy(F.col("a").alias("node")).agg(F.min("__c").alias("__m"))
-        step = labels.join(low, "node").select("node", F.least("component", "__m").alias("__n"), F.col("component").alias("__old"))
-        # Jump: the label of the label.
-        jump = step.select(F.col("node").alias("__l"), F.col("__n").alias("__ln"))
-        new = step.join(jump, F.col("__n") == F.col("__l"), "left").select("node", F.least("__n", F.coalesce("__ln", "__n")).alias("component"), "__old")
-        done = cut_lineage(new)
-        changed = done.filter(F.col("component") != F.col("__old")).limit(1).count()
-        labels = done.select("node", "component")
-        if not changed:
-            return labels
-    raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+        above = parents.select(F.col("node").alias("root"), F.col("root").alias("__up"))
+        if not parents.join(above, "root", "left_semi").limit(1).count():
+            return parents
+        parents = cut_lineage(parents.join(above, "root", "left").select("node", F.coalesce("__up", "root").alias("root")))
+    raise RuntimeError(f"roots were not reached in {max_rounds} rounds")

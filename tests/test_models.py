@@ -204,6 +204,30 @@ def test_settings():
     assert merge({"a": {"b": 1, "c": 2}}, {"a": {"b": 5}}) == {"a": {"b": 5, "c": 2}}
 
 
+def test_components_store_what_shrinks(spark, monkeypatch):
+    """A graph of many edges is stored about once: later rounds hold only edges between different trees."""
+    rng = np.random.default_rng(7)
+    e = sorted({(f"o{a}", f"p{b}") for a, b in zip(rng.integers(0, 1500, 6000).tolist(), rng.integers(0, 300, 6000).tolist())})
+    e += [(f"q{i:04}", f"q{i + 1:04}") for i in range(300)] + [("z", "z"), ("o1", "o1")]
+    root = {}
+    find = lambda v: v if root.setdefault(v, v) == v else find(root[v])
+    for a, b in e:
+        lo, hi = sorted((find(a), find(b)))
+        root[hi] = lo
+    stored = []
+
+    def counted(df):
+        out = keep(df)
+        stored.append(out.count())
+        return out
+
+    keep = G.cut_lineage
+    monkeypatch.setattr(G, "cut_lineage", counted)
+    got = dict(rows(G.connected_components(spark.createDataFrame([*e, *e[:50], (None, "x")], "src string, dst string"))))
+    assert got == {v: find(v) for v in list(root)}
+    assert sum(stored) < 5 * len(e), stored
+
+
 def test_locus_splices_without_pairs(spark):
     """Counts equal those of all pairs, whatever strands and nulls there are; a junction over very many bins is no burden."""
     rng = np.random.default_rng(11)
