@@ -204,6 +204,32 @@ def test_settings():
     assert merge({"a": {"b": 1, "c": 2}}, {"a": {"b": 5}}) == {"a": {"b": 5, "c": 2}}
 
 
+def test_arms_meet_no_group_call_each(spark):
+    """Arms lie over the borders of batches; each is cut as if it were alone, in one stream of rows."""
+    rng = np.random.default_rng(5)
+    data = []
+    for k in range(23):
+        n = int(rng.integers(1, 90))
+        y = rng.normal(0, 0.1, n) + (np.arange(n) >= n // 2) * (k % 3)
+        arm = None if k % 7 == 3 else f"a{k % 4}"
+        data += [(f"s{k // 4}", arm, "c", i * 10 + 1, float(v) if i % 11 else None, float(abs(v)), i % 3, float(k % 2) * 0.2 if k % 5 else None, None if i % 13 == 5 else i % 4 > 0, i % 6 > 0) for i, v in enumerate(y)]
+    df = spark.createDataFrame(data, "id string, arm string, chr string, start long, lr double, baf double, baf_n int, nvar double, hq boolean, target boolean")
+    stats = spark.createDataFrame([(f"s{k}", 0.1, 0.1) for k in range(6)], "id string, sd_lr double, sd_baf double")
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "17")
+        made = MO.segment_tiles(df, stats)
+        got = rows(made)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    alone = []
+    for arm in sorted({r[1] for r in data if r[0] == "s0"}, key=repr):
+        alone += rows(MO.segment_tiles(df.filter((F.col("id") == "s0") & F.col("arm").eqNullSafe(F.lit(arm))), stats))
+    assert [r for r in got if r[0] == "s0"] == sorted(alone, key=repr) and len(got) == len(data)
+    assert max(r[4] for r in got) > 1
+    assert "FlatMapGroupsInPandas" not in made._jdf.queryExecution().toString()
+
+
 def test_components_store_what_shrinks(spark, monkeypatch):
     """A graph of many edges is stored about once: later rounds hold only edges between different trees."""
     rng = np.random.default_rng(7)
