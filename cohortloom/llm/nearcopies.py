@@ -1,6 +1,8 @@
 """Near copies by the Jaccard similarity of five-word shingles, verified exactly.
 
-Texts with the same shingles are one node from the start.  Which nodes meet is an equality join on the keys of BANDS
+Texts with the same shingles are one node from the start.  Nodes first meet by the method of ``simhash``: one node of each
+fingerprint meets the others of it, and those of fingerprints that its pivot tables find within 3 bits.  A pair may be similar
+enough and differ in more bits, so the components that this leaves meet by an equality join on the keys of BANDS
 bands of DEPTH minimum hashes each: a pair of similarity s shares none with probability (1 - s^DEPTH)^BANDS, 8 in a
 million at 0.8 and less above.  Every link is then verified on the whole shingle sets, so none is made below 0.8.
 
@@ -13,7 +15,7 @@ common part but no link makes pairs only where they share shingles that are rare
 
 from __future__ import annotations
 
-from functools import partial
+from functools import partial, reduce
 from itertools import accumulate, count
 
 import numpy as np
@@ -22,6 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cohortloom.llm import simhash
 from cohortloom.llm.common import prepare, store
 from cohortloom.llm.simhash import _LOWER, pivots
 from cohortloom.operators.graph import connected_components
@@ -83,15 +86,35 @@ def _sizes(a: str, b: str) -> Column:
     return (5 * F.col(a) >= 4 * F.col(b)) & (5 * F.col(b) >= 4 * F.col(a))
 
 
+def _close(members: DataFrame) -> DataFrame:
+    """(src, dst): pairs that the fingerprints name; nodes without words name none.
+
+    One node stands for its fingerprint, so a fingerprint that many nodes have makes one pair for each of them.
+    """
+    nodes = members.filter("n > 0").select("node", "n", "fp")
+    firsts = store(nodes.groupBy("fp").agg(F.min(F.struct(F.col("node").alias("with"), F.col("n").alias("with_n"))).alias("p")).select("fp", "p.*"))
+    alike = nodes.join(firsts, "fp").filter(F.col("node") != F.col("with")).select("node", "n", "with", "with_n")
+    near = simhash.links(firsts.select("fp"))
+    named = near.join(firsts.withColumnsRenamed({"fp": "src", "with": "node", "with_n": "n"}), "src").join(firsts.withColumnRenamed("fp", "dst"), "dst")
+    pairs = alike.unionByName(named.select("node", "n", "with", "with_n")).filter(_sizes("n", "with_n"))
+    return store(pairs.select(*_pair("node", "with")))
+
+
+def _pair(a: str, b: str) -> list[Column]:
+    return [F.least(a, b).alias("src"), F.greatest(a, b).alias("dst")]
+
+
 def links(members: DataFrame, texts: DataFrame) -> DataFrame:
     """(node, component) of the nodes with a link: Jaccard similarity of 0.8 or more.
 
-    ``members`` has node, n and keys, once for each node, ``texts`` node and text, for some nodes several times alike.
+    ``members`` has node, n, keys and fp, once for each node, ``texts`` node and text, for some nodes several times alike.
     """
     keyed = members.select("node", "n", F.explode("keys").alias("key"))
     several = keyed.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1").select("key")
     met = store(keyed.join(several, "key", "left_semi"))
-    wanted = texts.join(met.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
+    close = _close(members)
+    ends = reduce(DataFrame.union, [met.select("node"), close.select("src"), close.select("dst")])
+    wanted = texts.join(ends.distinct(), "node", "left_semi").dropDuplicates(["node"])
     sets = store(wanted.select("node", shingles(F.col("text")).alias("set")))
 
     def verified(pairs: DataFrame) -> DataFrame:
@@ -101,13 +124,11 @@ def links(members: DataFrame, texts: DataFrame) -> DataFrame:
         same = F.size(F.array_intersect("src_set", "dst_set"))
         return store(ends.filter(9 * same >= 4 * (F.size("src_set") + F.size("dst_set"))).select("src", "dst"))  # same / (all - same) >= 4 / 5
 
-    def pair(a: str, b: str) -> list[Column]:
-        return [F.least(a, b).alias("src"), F.greatest(a, b).alias("dst")]
-
-    found = known = None
+    found = verified(close)
+    known = connected_components(found, "src", "dst")
     mixed_before = None
     for k in count():
-        labelled = met.withColumn("component", F.col("node")) if known is None else met.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        labelled = met.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
         mixed = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("key")
         rest = store(labelled.join(mixed, "key", "left_semi"))
         left = rest.count()
@@ -116,15 +137,14 @@ def links(members: DataFrame, texts: DataFrame) -> DataFrame:
         mixed_before = left
         centre = F.min(F.struct(F.xxhash64(F.lit(k), "node").alias("h"), F.col("node").alias("with"), F.col("n").alias("with_n"), F.col("component").alias("with_component"))).alias("p")
         centres = rest.groupBy("key").agg(centre).select("key", "p.*")
-        pairs = rest.join(centres, "key").filter((F.col("component") != F.col("with_component")) & _sizes("n", "with_n")).select(*pair("node", "with"))
-        new = verified(pairs)
-        found = new if found is None else found.unionByName(new)
+        pairs = rest.join(centres, "key").filter((F.col("component") != F.col("with_component")) & _sizes("n", "with_n")).select(*_pair("node", "with"))
+        found = found.unionByName(verified(pairs))
         known = connected_components(found, "src", "dst")
     if left:
         nodes = rest.select("node", "component").distinct()
         found = found.unionByName(verified(_rare_pairs(sets.join(nodes, "node"))))
         known = connected_components(found, "src", "dst")
-    return met.select("node").distinct().withColumn("component", F.col("node")).limit(0) if known is None else known
+    return known
 
 
 def _rare_pairs(sets: DataFrame) -> DataFrame:
@@ -152,13 +172,13 @@ def chosen(docs: DataFrame, keys: list[str], text: str = "text", doc_id: str = "
     """
     prepare(docs.sparkSession)
     k1, k2 = keys
-    slim = docs.select(F.col(k1).alias("k1"), F.col(k2).alias("k2"), F.col(f"`{doc_id}`").alias("id"), sketch(F.col(f"`{text}`")).alias("m"))
-    rows = store(slim.select("k1", "k2", "id", "m.*").withColumn("row", F.monotonically_increasing_id()))  # the row numbers are fixed from here on
+    slim = docs.select(F.col(k1).alias("k1"), F.col(k2).alias("k2"), F.col(f"`{doc_id}`").alias("id"), sketch(F.col(f"`{text}`")).alias("m"), simhash.fingerprint(F.col(f"`{text}`")).alias("fp"))
+    rows = store(slim.select("k1", "k2", "id", "m.*", "fp").withColumn("row", F.monotonically_increasing_id()))  # the row numbers are fixed from here on
     best = F.min(F.struct(F.col("id").isNull().alias("a"), F.col("id").alias("b"), F.col("row").alias("c"))).alias("best")
     nodes = store(rows.groupBy("s1", "s2").agg(F.min("row").alias("node"), best))
     members = rows.join(nodes.select(F.col("node").alias("row")), "row", "left_semi").withColumnRenamed("row", "node")
     places = members.select(F.col("k1").alias(k1), F.col("k2").alias(k2), "node")
-    known = links(members.select("node", "n", "keys"), docs.select(k1, k2, F.col(f"`{text}`").alias("text")).join(places, [k1, k2]).select("node", "text"))
+    known = links(members.select("node", "n", "keys", "fp"), docs.select(k1, k2, F.col(f"`{text}`").alias("text")).join(places, [k1, k2]).select("node", "text"))
     joined = nodes.join(known, "node", "left").select("best", F.coalesce("component", "node").alias("root"))
     first = joined.groupBy("root").agg(F.min("best").getField("c").alias("row"))
     return rows.join(first, "row", "left_semi").select(F.col("k1").alias(k1), F.col("k2").alias(k2))

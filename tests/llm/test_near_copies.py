@@ -85,3 +85,16 @@ def test_rare_pairs_of_a_hot_group(spark):
     got = {(p.src, p.dst) for p in nearcopies._rare_pairs(df).collect()}
     wanted = {(i, j) for i, j in combinations(range(len(sets)), 2) if similar(sets[i], sets[j])}
     assert len(wanted) >= 12 and wanted <= got and len(got) < 5 * len(wanted)
+
+
+def test_fingerprints_make_links(spark):
+    """Nodes without a common band key are linked if the fingerprints name them and their sets are alike."""
+    base = [f"w{k}" for k in range(300)]
+    texts = [" ".join(base), " ".join([*base, "x"]), " ".join(["y", *base, "x"]), " ".join(base[:10])]
+    sketches = [nearcopies.sketch_of(t) for t in texts]
+    fps = [simhash.fingerprint_of(t, 3) for t in texts]
+    assert 0 < ((fps[0] ^ fps[1]) & (1 << 64) - 1).bit_count() <= 3
+    fps[2], fps[3] = fps[0], fps[0]  # one fingerprint for several nodes, one of them unlike
+    members = spark.createDataFrame([(i, m[0], [], f) for i, (m, f) in enumerate(zip(sketches, fps, strict=True))], "node long, n long, keys array<long>, fp long")
+    found = nearcopies.links(members, spark.createDataFrame(list(enumerate(texts)), "node long, text string"))
+    assert {(r.node, r.component) for r in found.collect()} == {(0, 0), (1, 0), (2, 0)}
