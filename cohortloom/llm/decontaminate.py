@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, LongType, StringType, StructField, StructType
 
 from cohortloom.llm.automaton import Shared, SuffixAutomaton
-from cohortloom.llm.common import add_struct, fresh, prepare, store
+from cohortloom.llm.common import add_struct, fresh, once, prepare, store
 
 #: Words of one automaton (some 60 MB in a worker) and automata of one pass over the texts; more items make more passes.
 BLOCK_WORDS, BLOCKS = 100_000, 8
@@ -200,7 +200,7 @@ def decontaminate(df: DataFrame, items: DataFrame, text: str = "text", item_id:
             words = [words_of(t) for t in texts]
             return pd.DataFrame([_result(t, w, f, share, limit) for t, w, f in zip(texts, words, _read(words, blocks, window), strict=True)], columns=FIELDS.names)
 
-        return add_struct(df, run(source), FIELDS.names)
+        return add_struct(df, once(run)(source), FIELDS.names)
 
     tmp = fresh([*df.columns, *FIELDS.names], "found")
     rows = df.withColumn(tmp, F.lit(None).cast(FOUND))
@@ -214,7 +214,7 @@ def decontaminate(df: DataFrame, items: DataFrame, text: str = "text", item_id:
     def finish(texts: pd.Series, seen: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame([_result(t, words_of(t), f, share, limit) for t, f in zip(texts, _earlier(seen), strict=True)], columns=FIELDS.names)
 
-    return add_struct(rows, finish(source, F.col(tmp)), FIELDS.names).drop(tmp)
+    return add_struct(rows, once(finish)(source, F.col(tmp)), FIELDS.names).drop(tmp)
 
 
 def _more(blocks: list[Shared], window: int):

@@ -28,6 +28,7 @@ from cohortloom.llm import simhash
 from cohortloom.llm.common import prepare, store
 from cohortloom.llm.simhash import _LOWER, pivots
 from cohortloom.operators.graph import connected_components
+from cohortloom.session import tasks_for
 
 SHINGLE = 5
 BANDS, DEPTH = 64, 8
@@ -86,13 +87,14 @@ def _sizes(a: str, b: str) -> Column:
     return (5 * F.col(a) >= 4 * F.col(b)) & (5 * F.col(b) >= 4 * F.col(a))
 
 
-def _close(members: DataFrame) -> DataFrame:
+def _close(members: DataFrame, at_most: int | None) -> DataFrame:
     """(src, dst): pairs that the fingerprints name; nodes without words name none.
 
     One node stands for its fingerprint, so a fingerprint that many nodes have makes one pair for each of them.
+    ``at_most`` is a bound of the members, if one is known.
     """
     nodes = members.filter("n > 0").select("node", "n", "fp")
-    firsts = store(nodes.groupBy("fp").agg(F.min(F.struct(F.col("node").alias("with"), F.col("n").alias("with_n"))).alias("p")).select("fp", "p.*"))
+    firsts = store(nodes.groupBy("fp").agg(F.min(F.struct(F.col("node").alias("with"), F.col("n").alias("with_n"))).alias("p")).select("fp", "p.*"), at_most)
     alike = nodes.join(firsts, "fp").filter(F.col("node") != F.col("with")).select("node", "n", "with", "with_n")
     near = simhash.links(firsts.select("fp"))
     named = near.join(firsts.withColumnsRenamed({"fp": "src", "with": "node", "with_n": "n"}), "src").join(firsts.withColumnRenamed("fp", "dst"), "dst")
@@ -104,33 +106,39 @@ def _pair(a: str, b: str) -> list[Column]:
     return [F.least(a, b).alias("src"), F.greatest(a, b).alias("dst")]
 
 
-def links(members: DataFrame, texts: DataFrame) -> DataFrame:
+def links(members: DataFrame, texts: DataFrame, at_most: int | None = None) -> DataFrame:
     """(node, component) of the nodes with a link: Jaccard similarity of 0.8 or more.
 
-    ``members`` has node, n, keys and fp, once for each node, ``texts`` node and text, for some nodes several times alike.
+    ``members`` has node, n, keys and fp, once for each node (``at_most`` rows at most, if known), ``texts`` node and text, for some nodes
+    several times alike.
     """
     keyed = members.select("node", "n", F.explode("keys").alias("key"))
     several = keyed.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1").select("key")
     met = store(keyed.join(several, "key", "left_semi"))
-    close = _close(members)
+    shared, close = met.count(), _close(members, at_most)
     ends = reduce(DataFrame.union, [met.select("node"), close.select("src"), close.select("dst")])
     wanted = texts.join(ends.distinct(), "node", "left_semi").dropDuplicates(["node"])
     sets = store(wanted.select("node", shingles(F.col("text")).alias("set")))
 
-    def verified(pairs: DataFrame) -> DataFrame:
+    def verified(pairs: DataFrame, at_most: int | None = None) -> DataFrame:
+        """The links among pairs; ``at_most`` pairs that are narrow rows need few tasks once they are verified."""
         ends = pairs.distinct()
         for end in ("src", "dst"):
             ends = ends.join(sets.select(F.col("node").alias(end), F.col("set").alias(f"{end}_set")), end)
         same = F.size(F.array_intersect("src_set", "dst_set"))
-        return store(ends.filter(9 * same >= 4 * (F.size("src_set") + F.size("dst_set"))).select("src", "dst"))  # same / (all - same) >= 4 / 5
+        linked = ends.filter(9 * same >= 4 * (F.size("src_set") + F.size("dst_set"))).select("src", "dst")  # same / (all - same) >= 4 / 5
+        return store(linked if at_most is None else linked.repartition(tasks_for(pairs.sparkSession, at_most)))
 
-    found = verified(close)
-    known = connected_components(found, "src", "dst")
+    def components() -> DataFrame:
+        return connected_components(found, "src", "dst", at_most=found.count())
+
+    found = verified(close, close.count())
+    known = components()
     mixed_before = None
     for k in count():
         labelled = met.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
         mixed = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("key")
-        rest = store(labelled.join(mixed, "key", "left_semi"))
+        rest = store(labelled.join(mixed, "key", "left_semi"), shared)
         left = rest.count()
         if not left or (mixed_before is not None and 4 * left > 3 * mixed_before):
             break
@@ -138,12 +146,12 @@ def links(members: DataFrame, texts: DataFrame) -> DataFrame:
         centre = F.min(F.struct(F.xxhash64(F.lit(k), "node").alias("h"), F.col("node").alias("with"), F.col("n").alias("with_n"), F.col("component").alias("with_component"))).alias("p")
         centres = rest.groupBy("key").agg(centre).select("key", "p.*")
         pairs = rest.join(centres, "key").filter((F.col("component") != F.col("with_component")) & _sizes("n", "with_n")).select(*_pair("node", "with"))
-        found = found.unionByName(verified(pairs))
-        known = connected_components(found, "src", "dst")
+        found = found.unionByName(verified(pairs, left))
+        known = components()
     if left:
         nodes = rest.select("node", "component").distinct()
         found = found.unionByName(verified(_rare_pairs(sets.join(nodes, "node"))))
-        known = connected_components(found, "src", "dst")
+        known = components()
     return known
 
 
@@ -175,10 +183,11 @@ def chosen(docs: DataFrame, keys: list[str], text: str = "text", doc_id: str = "
     slim = docs.select(F.col(k1).alias("k1"), F.col(k2).alias("k2"), F.col(f"`{doc_id}`").alias("id"), sketch(F.col(f"`{text}`")).alias("m"), simhash.fingerprint(F.col(f"`{text}`")).alias("fp"))
     rows = store(slim.select("k1", "k2", "id", "m.*", "fp").withColumn("row", F.monotonically_increasing_id()))  # the row numbers are fixed from here on
     best = F.min(F.struct(F.col("id").isNull().alias("a"), F.col("id").alias("b"), F.col("row").alias("c"))).alias("best")
-    nodes = store(rows.groupBy("s1", "s2").agg(F.min("row").alias("node"), best))
+    n = rows.count()
+    nodes = store(rows.groupBy("s1", "s2").agg(F.min("row").alias("node"), best), n)
     members = rows.join(nodes.select(F.col("node").alias("row")), "row", "left_semi").withColumnRenamed("row", "node")
     places = members.select(F.col("k1").alias(k1), F.col("k2").alias(k2), "node")
-    known = links(members.select("node", "n", "keys", "fp"), docs.select(k1, k2, F.col(f"`{text}`").alias("text")).join(places, [k1, k2]).select("node", "text"))
+    known = links(members.select("node", "n", "keys", "fp"), docs.select(k1, k2, F.col(f"`{text}`").alias("text")).join(places, [k1, k2]).select("node", "text"), n)
     joined = nodes.join(known, "node", "left").select("best", F.coalesce("component", "node").alias("root"))
     first = joined.groupBy("root").agg(F.min("best").getField("c").alias("row"))
     return rows.join(first, "row", "left_semi").select(F.col("k1").alias(k1), F.col("k2").alias(k2))
