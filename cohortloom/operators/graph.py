@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.session import cut_lineage
+from cohortloom.session import cut_lineage, few_tasks
 
 
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 60, at_most: int | None = None) -> DataFrame:
@@ -22,7 +22,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
     edges given, if one is known.
     """
     given = edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).filter(F.col("a").isNotNull() & F.col("b").isNotNull())
-    left = cut_lineage(_edges(given), at_most)
+    left = cut_lineage(few_tasks(_edges(given), at_most))
     n = first = left.count()
     alone = left.filter("lo = hi").select(F.col("lo").alias("node"), F.col("lo").alias("component"))
     left, levels, below = left.filter("lo < hi"), [], 0
@@ -33,7 +33,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
         up = left.join(roots.select(F.col("node").alias("hi"), F.col("root").alias("__h")), "hi")
         both = up.join(roots.select(F.col("node").alias("lo"), F.col("root").alias("__l")), "lo", "left")
         between = both.select(F.coalesce("__l", "lo").alias("a"), F.col("__h").alias("b")).filter("a <> b")
-        left = cut_lineage(_edges(between), n)
+        left = cut_lineage(few_tasks(_edges(between), n))
         n = left.count()
         if not n:
             break
@@ -43,9 +43,9 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
     done = levels.pop().withColumnRenamed("root", "component")
     for level in reversed(levels):
         top = done.select(F.col("node").alias("root"), F.col("component").alias("__c"))
-        done = cut_lineage(done.unionByName(level.join(top, "root", "left").select("node", F.coalesce("__c", "root").alias("component"))), below)
+        done = cut_lineage(few_tasks(done.unionByName(level.join(top, "root", "left").select("node", F.coalesce("__c", "root").alias("component"))), below))
     tops = done.select(F.col("component").alias("node"), "component")
-    return cut_lineage(reduce(DataFrame.unionByName, [done, tops, alone]).groupBy("node").agg(F.min("component").alias("component")), 2 * below + first)
+    return cut_lineage(few_tasks(reduce(DataFrame.unionByName, [done, tops, alone]).groupBy("node").agg(F.min("component").alias("component")), 2 * below + first))
 
 
 def _edges(pairs: DataFrame) -> DataFrame:
@@ -55,10 +55,10 @@ def _edges(pairs: DataFrame) -> DataFrame:
 
 def _roots(parents: DataFrame, max_rounds: int, at_most: int) -> DataFrame:
     """(node, root) of the nodes that have a parent (``root`` of the input), stored; a node that is not listed is a root."""
-    parents = cut_lineage(parents, at_most)
+    parents = cut_lineage(few_tasks(parents, at_most))
     for _ in range(max_rounds):
         above = parents.select(F.col("node").alias("root"), F.col("root").alias("__up"))
         if not parents.join(above, "root", "left_semi").limit(1).count():
             return parents
-        parents = cut_lineage(parents.join(above, "root", "left").select("node", F.coalesce("__up", "root").alias("root")), at_most)
+        parents = cut_lineage(few_tasks(parents.join(above, "root", "left").select("node", F.coalesce("__up", "root").alias("root")), at_most))
     raise RuntimeError(f"roots were not reached in {max_rounds} rounds")
