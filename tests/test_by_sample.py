@@ -62,3 +62,23 @@ def test_links_meet_breakpoints_in_one_join(spark, bpt):
             assert linked.filter(F.col(f"{k}_link").isNotNull()).groupBy("id", f"chr_{e}", f"pos_{e}", f"str_{e}").agg(F.count_distinct(f"{k}_link").alias("n")).filter("n > 1").count() == 0
     chained = FU.chain_breakpoints(linked)
     assert chained._jdf.queryExecution().optimizedPlan().toString().count("Join LeftOuter") == 1
+
+
+def test_pairs_are_dealt_once(spark, monkeypatch):
+    from cohortloom.operators import variants as V
+
+    r = random.Random(8)
+    csq = spark.createDataFrame([(f"{k}{e}", r.choice(["N", "M", "", None]), r.choice(["T", "U", "W"]), r.choice([10, 20, None]), r.choice([1, 5, 7, None])) for k in range(40) for e in "ab" for _ in range(3)],
+                                "var_id string, symbol string, id_short string, impact_score int, preference_score int").dropDuplicates(["var_id", "id_short"])
+    pairs = spark.createDataFrame([(f"{k}", f"{k}a", f"{k}b", r.choice([True, False, None])) for k in range(40)] + [(None, "0a", "1b", True)], "bnd_id string, id1 string, id2 string, proximal boolean")
+    moves = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        made = V.pick_pair_consequence(csq, pairs)
+        few = moves(made)
+        monkeypatch.setattr(V, "whole_groups", lambda *a: None)
+        joined = V.pick_pair_consequence(csq, pairs)
+        assert few < moves(joined)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert rows(made) == rows(joined, *made.columns)
